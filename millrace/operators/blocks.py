@@ -23,7 +23,7 @@ NO_ID = np.iinfo(np.int64).min
 
 
 def to_matrix(column: pa.Array) -> np.ndarray:
-    """List column to an n x d double matrix; all rows must have the same length."""
+    """List column without nulls to an n x d double matrix; rows must be equally long."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(column) == 0:
         return np.empty((0, 0))
@@ -32,6 +32,16 @@ def to_matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
+def with_vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows that have a vector.
+
+    Done here and not by a Spark filter, since a filter on a computed vector would be
+    pushed below the computation and repeat it.
+    """
+    known = batch.column("vec").is_valid()
+    return batch.filter(known) if batch.column("vec").null_count else batch
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; a zero row becomes NaN and is never a best row."""
     with np.errstate(invalid="ignore", divide="ignore"):
@@ -55,6 +65,11 @@ class Queries:
             unit_rows(matrix) if metric == "cosine" else matrix,
         )
 
+    @classmethod
+    def from_table(cls, table: pa.Table, id_name: str, metric: str) -> Queries:
+        return cls.from_arrow(
+            *(table.column(name).combine_chunks() for name in (id_name, "skip", "vec")), metric)
+
     def __len__(self) -> int:
         return len(self.ids)
 

@@ -12,12 +12,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import Best, Queries, to_matrix, unit_rows
+from millrace.operators.blocks import Best, Queries, to_matrix, unit_rows, with_vectors
 from millrace.operators.neighbours import (
-    BROADCAST_BYTES, FOUND, SLICE_ROWS, block_rows, regrouped, search_cells, small_enough, with_skip,
+    BROADCAST_BYTES, FOUND, SLICE_ROWS, SMALLEST_BLOCK, data_rows, dimensions, query_rows, regrouped,
+    rows_within, search_cells, small_enough,
 )
 from millrace.session import ship_package
 
@@ -41,34 +43,58 @@ class SignHash:
         return generator.integers(low=0, high=self.planes, size=(self.tables, self.bits))
 
 
+def sides(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """1 where a row lies on the side of a plane's normal, else 0."""
+    return (matrix @ planes.T > 0).astype(np.int32)
+
+
+def names(bits: np.ndarray, picks: np.ndarray) -> pa.Array:
+    """The picked bits of each row as text, one after the other for each table."""
+    digits = np.ascontiguousarray(bits[:, picks] + ord("0"), dtype=np.uint8)
+    return pa.array(digits.view(f"S{picks.shape[1]}").ravel()).cast(pa.string())
+
+
+def _lists(flat: pa.Array, length: int, known: pa.Array) -> pa.Array:
+    """``flat`` cut into lists of ``length``, with a null list where not ``known``."""
+    steps = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(steps * length), flat, mask=pc.invert(known))
+
+
 def sign_bits(df: DataFrame, planes: np.ndarray, vec: str = "vec", out: str = "bits") -> DataFrame:
     """Add one bit per plane: 1 where the vector lies on the side of its normal."""
     ship_package(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def project(vectors: pa.Array) -> pa.Array:
-        matrix = to_matrix(vectors)
-        if not len(vectors):
-            return pa.array([], pa.list_(pa.int32()))
-        bits = (matrix @ planes.T > 0).astype(np.int32)
-        ends = np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.ravel()))
+        known = vectors.is_valid()
+        bits = sides(to_matrix(vectors.filter(known)).reshape(-1, planes.shape[1]), planes)
+        return _lists(pa.array(bits.ravel()), len(planes), known)
 
     return df.withColumn(out, project(F.col(vec)))
 
 
 def bucket_names(df: DataFrame, scheme: SignHash, dims: int, vec: str = "vec") -> DataFrame:
     """Add ``buckets``: the picked bits as text, one per table."""
-    picks = F.array(*[F.array(*[F.lit(int(bit)) for bit in row]) for row in scheme.draw_picks()])
-    named = F.transform(
-        picks, lambda row: F.array_join(F.transform(row, lambda bit: F.col("__bits")[bit].cast("string")), ""))
-    return sign_bits(df, scheme.draw_planes(dims), vec, "__bits").withColumn("buckets", named).drop("__bits")
+    ship_package(df.sparkSession)
+    planes, picks = scheme.draw_planes(dims), scheme.draw_picks()
 
+    @F.arrow_udf("array<string>")
+    def project(vectors: pa.Array) -> pa.Array:
+        known = vectors.is_valid()
+        bits = sides(to_matrix(vectors.filter(known)).reshape(-1, planes.shape[1]), planes)
+        return _lists(names(bits, picks), len(picks), known)
 
-def dimensions(df: DataFrame, vec: str = "vec") -> int:
-    """Length of the vectors, read from one row."""
-    first = df.filter(F.col(vec).isNotNull()).select(F.size(vec).alias("d")).first()
-    return first.d if first else 0
+    return df.withColumn("buckets", project(F.col(vec)))
+
+
+def one_row_per_table(named: DataFrame, *keep: str) -> DataFrame:
+    """``tbl, bucket`` and the columns to keep; rows without a vector go.
+
+    The outer form of the generator, because for the inner form the optimizer adds a
+    filter on the array, which would compute all buckets a second time.
+    """
+    per_table = named.select(F.posexplode_outer("buckets").alias("tbl", "bucket"), *keep)
+    return per_table.filter(F.col("tbl").isNotNull())
 
 
 def lsh_index(data: DataFrame, scheme: SignHash) -> DataFrame:
@@ -77,9 +103,8 @@ def lsh_index(data: DataFrame, scheme: SignHash) -> DataFrame:
     Store it, sorted or bucketed by ``tbl, bucket``, to hash the data only once for
     many searches.
     """
-    rows = data.filter(F.col("vec").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "vec")
-    named = bucket_names(rows, scheme, dimensions(data))
-    return named.select(F.posexplode("buckets").alias("tbl", "bucket"), "id", "vec")
+    rows = data_rows(data)
+    return one_row_per_table(bucket_names(rows, scheme, dimensions(rows)), "id", "vec")
 
 
 def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int = 3,
@@ -96,17 +121,20 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     ``slice_rows``, or more queries than a block, is cut into cells that different
     tasks search.
     """
-    asked = bucket_names(with_skip(queries), scheme, dimensions(queries))
+    ship_package(index.sparkSession)
+    asked = query_rows(queries)
+    dims = dimensions(asked)
 
     def new_best(block: Queries) -> Best:
         return Best(block, k, "dot", True, query_block)
 
-    table = small_enough(asked, max_broadcast_bytes)
+    table = small_enough(asked, max_broadcast_bytes, dims)
     if table is not None:
-        found = _search_in_place(index, asked, table, new_best)
+        found = _search_in_place(index, table, scheme, new_best)
     else:
-        most = block_rows(asked, max(max_broadcast_bytes, 1 << 20))
-        found = _search_buckets(index, asked, most, slice_rows, new_best)
+        ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
+        per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
+        found = _search_buckets(index, ask, per_block, slice_rows, new_best)
     best_first = Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("id"))
     # A row found through several tables has one score, hence one rank, and the
     # second step needs no exchange of its own.
@@ -116,30 +144,32 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     )
 
 
-def _shared_buckets(asked: DataFrame) -> DataFrame:
-    return asked.select(F.posexplode("buckets").alias("tbl", "bucket"), "qid", "skip", "vec")
-
-
-def _search_in_place(index: DataFrame, asked: DataFrame, table: pa.Table, new_best) -> DataFrame:
+def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_best) -> DataFrame:
+    spark = index.sparkSession
     if table.num_rows == 0:
-        return index.sparkSession.createDataFrame([], FOUND)
-    block = Queries.from_arrow(
-        *(table.column(part).combine_chunks() for part in ("qid", "skip", "vec")), "dot")
-    members: dict[str, list[int]] = {}
-    for place, names in enumerate(table.column("buckets").to_pylist()):
-        for number, name in enumerate(names):
-            members.setdefault(f"{number}|{name}", []).append(place)
-    places = {cell: np.array(list_of) for cell, list_of in members.items()}
-    shared = index.sparkSession.sparkContext.broadcast((block, places))
+        return spark.createDataFrame([], FOUND)
+    block = Queries.from_table(table, "qid", "dot")
+    bits = sides(block.matrix, scheme.draw_planes(block.matrix.shape[1]))
+    asked = pa.table({
+        "place": np.repeat(np.arange(len(block)), scheme.tables),
+        "tbl": np.tile(np.arange(scheme.tables, dtype=np.int32), len(block)),
+        "bucket": names(bits, scheme.draw_picks()),
+    })
+    groups = asked.group_by(["tbl", "bucket"]).aggregate([("place", "list")])
+    places = {
+        f"{number}|{name}": np.array(members)
+        for number, name, members in zip(*(groups.column(c).to_pylist() for c in ("tbl", "bucket", "place_list")))
+    }
+    shared = spark.sparkContext.broadcast((block, places))
 
     # The queries have passed the size check, so their buckets are few as well.
-    wanted = F.broadcast(_shared_buckets(asked).select("tbl", "bucket").distinct())
+    wanted = F.broadcast(spark.createDataFrame(groups.select(["tbl", "bucket"])))
     hits = index.join(wanted, ["tbl", "bucket"], "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, places = shared.value
         best = new_best(block)
-        for batch in batches:
+        for batch in map(with_vectors, batches):
             if not batch.num_rows:
                 continue
             ids, matrix = batch.column("id").to_numpy(zero_copy_only=False), to_matrix(batch.column("vec"))
@@ -155,9 +185,7 @@ def _search_in_place(index: DataFrame, asked: DataFrame, table: pa.Table, new_be
     return hits.select(cell, "id", "vec").mapInArrow(scan, FOUND)
 
 
-def _search_buckets(index: DataFrame, asked: DataFrame, block: int, slice_rows: int, new_best) -> DataFrame:
-    ask = _shared_buckets(asked)
-
+def _search_buckets(index: DataFrame, ask: DataFrame, block: int, slice_rows: int, new_best) -> DataFrame:
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("tbl", "bucket").agg(F.count(F.lit(1)).alias(name))
 

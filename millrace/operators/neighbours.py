@@ -26,39 +26,48 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import METRICS, Best, Queries, to_matrix
+from millrace.operators.blocks import METRICS, Best, Queries, to_matrix, with_vectors
 from millrace.session import ship_package
 
 FOUND = "qid bigint, id bigint, score double"
 ROWS_PER_BATCH_OUT = 20_000
 
 BROADCAST_BYTES = 64 << 20
+SMALLEST_BLOCK = 1 << 20
 SLICE_ROWS = 1_000_000
 
 
-def with_skip(queries: DataFrame) -> DataFrame:
+def data_rows(data: DataFrame) -> DataFrame:
+    return data.select(F.col("id").cast("bigint").alias("id"), "vec")
+
+
+def query_rows(queries: DataFrame) -> DataFrame:
     skip = F.col("skip") if "skip" in queries.columns else F.lit(None)
-    return queries.filter(F.col("vec").isNotNull()).select(
-        F.col("qid").cast("bigint"), skip.cast("bigint").alias("skip"), "vec")
+    return queries.select(F.col("qid").cast("bigint").alias("qid"), skip.cast("bigint").alias("skip"), "vec")
+
+
+def dimensions(df: DataFrame) -> int:
+    """Length of the vectors, read from one row; 0 without any."""
+    first = df.select(F.size("vec").alias("d")).filter(F.col("d") > 0).first()
+    return first.d if first else 0
+
 
+def rows_within(max_bytes: int, dims: int) -> int:
+    """How many vectors fit, with their two ids."""
+    return max_bytes // (8 * dims + 16)
 
-def small_enough(df: DataFrame, max_bytes: int) -> pa.Table | None:
-    """The rows of ``df`` if they fit ``max_bytes``, else None.
+
+def small_enough(df: DataFrame, max_bytes: int, dims: int) -> pa.Table | None:
+    """The rows of ``df`` that have a vector, if all rows fit ``max_bytes``, else None.
 
     Reads at most one row more than would fit, so an oversized input costs the
     driver no more than a fitting one.
     """
-    first = df.select(F.size("vec").alias("d")).first()
-    dims = first.d if first else 1
-    most = max_bytes // (8 * dims + 16)
-    table = df.limit(most + 1).toArrow() if most else None
-    return table if table is not None and table.num_rows <= most else None
-
-
-def block_rows(df: DataFrame, max_bytes: int) -> int:
-    """How many vectors make a block of about ``max_bytes``."""
-    first = df.select(F.size("vec").alias("d")).first()
-    return max(1, max_bytes // (8 * (first.d if first else 1) + 16))
+    most = rows_within(max_bytes, dims)
+    if not most:
+        return None
+    table = df.limit(most + 1).toArrow()
+    return table.filter(table.column("vec").is_valid()) if table.num_rows <= most else None
 
 
 def rank_found(found: DataFrame, k: int) -> DataFrame:
@@ -107,7 +116,9 @@ def scan_cells(new_best: Callable[[Queries], Best], metric: str):
         best: Best | None = None
         for batch in batches:
             for start, length in runs(batch.column("cell")):
-                here = batch.slice(start, length)
+                here = with_vectors(batch.slice(start, length))
+                if not here.num_rows:
+                    continue
                 name = here.column("cell")[0].as_py()
                 if name != cell:
                     if best is not None:
@@ -120,9 +131,7 @@ def scan_cells(new_best: Callable[[Queries], Best], metric: str):
                 if not rest.num_rows or not held:
                     continue
                 if best is None:
-                    table = pa.Table.from_batches(held).combine_chunks()
-                    best = new_best(Queries.from_arrow(
-                        *(table.column(part).combine_chunks() for part in ("id", "skip", "vec")), metric))
+                    best = new_best(Queries.from_table(pa.Table.from_batches(held), "id", metric))
                 best.scan(rest.column("id").to_numpy(zero_copy_only=False), to_matrix(rest.column("vec")))
         if best is not None:
             yield best.rows()
@@ -161,17 +170,18 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
     if k < 1 or query_block < 1:
         raise ValueError("k and query_block must be positive")
     ship_package(data.sparkSession)
-    rows = data.filter(F.col("vec").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "vec")
-    asked = with_skip(queries)
+    rows, asked = data_rows(data), query_rows(queries)
 
     def new_best(block: Queries) -> Best:
         return Best(block, k, metric, False, query_block)
 
-    table = small_enough(asked, max_broadcast_bytes)
+    dims = dimensions(asked)
+    table = small_enough(asked, max_broadcast_bytes, dims)
     if table is not None:
         found = _search_in_place(rows, table, new_best, metric)
     else:
-        blocks = math.ceil(asked.count() / block_rows(asked, max(max_broadcast_bytes, 1 << 20)))
+        per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
+        blocks = math.ceil(asked.count() / per_block)
         slices = max(1, math.ceil(rows.count() / slice_rows))
         found = search_by_blocks(rows, asked, blocks, slices, new_best, metric)
     ranked = rank_found(found, k)
@@ -184,13 +194,12 @@ def _search_in_place(rows: DataFrame, table: pa.Table, new_best: Callable[[Queri
                      metric: str) -> DataFrame:
     if table.num_rows == 0:
         return rows.sparkSession.createDataFrame([], FOUND)
-    block = Queries.from_arrow(
-        *(table.column(name).combine_chunks() for name in ("qid", "skip", "vec")), metric)
+    block = Queries.from_table(table, "qid", metric)
     shared = rows.sparkSession.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = new_best(shared.value)
-        for batch in batches:
+        for batch in map(with_vectors, batches):
             if batch.num_rows:
                 best.scan(batch.column("id").to_numpy(zero_copy_only=False), to_matrix(batch.column("vec")))
         yield best.rows()

@@ -327,7 +327,8 @@ def _answers(found: DataFrame) -> DataFrame:
 
 @query
 def vec_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    return _unit_vectors(spark, folder).select("id", F.posexplode("vec").alias("pos", "x")).select(
+    unfolded = _unit_vectors(spark, folder).select("id", F.posexplode_outer("vec").alias("pos", "x"))
+    return unfolded.select(
         "id", "pos", rounded("x"))
 
 

@@ -66,12 +66,13 @@ def look_up(queries: DataFrame, vectors: DataFrame) -> DataFrame:
     A label that occurs in several rows means the last of them.  A label that occurs
     in none is an error, raised when the result is computed.
     """
-    last = vectors.groupBy("label").agg(F.max("id").alias("skip"))
+    asked = queries.select("label").distinct()
+    last = vectors.join(asked, "label", "left_semi").groupBy("label").agg(
+        F.max_by(F.struct("id", "vec"), "id").alias("row"))
     unknown = F.raise_error(F.concat(F.lit("unknown query label: "), F.col("label")))
-    known = queries.join(last, "label", "left").select(
-        "qid", "label", F.coalesce(F.col("skip"), unknown.cast("bigint")).alias("skip"))
-    return known.join(vectors.select(F.col("id").alias("skip"), "vec"), "skip").select(
-        "qid", "label", "skip", "vec")
+    return queries.join(last, "label", "left").select(
+        "qid", "label", F.coalesce(F.col("row.id"), unknown.cast("bigint")).alias("skip"),
+        F.col("row.vec").alias("vec"))
 
 
 def with_labels(found: DataFrame, vectors: DataFrame) -> DataFrame:

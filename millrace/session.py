@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Per application: the fallback scratch folder, and whether the package was shipped.
+_own_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+
 
 def local_session(app: str = "millrace", cores: str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g", **conf: str) -> SparkSession:
@@ -36,15 +40,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     session, where one machine holds all executors, may fall back to a folder of
     its own.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_KEY, root)
+    root = spark.conf.get(CHECKPOINT_KEY, None) or _own_folder(spark)
     return f"{root.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
+def _own_folder(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _own_folders[application]
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and hand back the stored table.
 
@@ -67,9 +75,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
-_shipped: set[str] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
     """Let Python tasks import this package wherever they run; once per application."""
     context = spark.sparkContext
