@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from millrace.operators.blocks import Best, Queries, to_matrix, unit_rows, with_vectors
 from millrace.operators.neighbours import (
-    BROADCAST_BYTES, FOUND, SLICE_ROWS, SMALLEST_BLOCK, data_rows, dimensions, query_rows, regrouped,
+    BROADCAST_BYTES, FOUND, SLICE_ROWS, SMALLEST_BLOCK, data_rows, dimensions, in_fewer_tasks, query_rows,
     rows_within, search_cells, small_enough,
 )
 from millrace.session import ship_package
 
+BROADCAST_BUCKETS = 1 << 20
+
 
 @dataclass(frozen=True)
 class SignHash:
@@ -130,11 +132,11 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
 
     table = small_enough(asked, max_broadcast_bytes, dims)
     if table is not None:
-        found = _search_in_place(index, table, scheme, new_best)
+        found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, new_best)
     else:
         ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
         per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
-        found = _search_buckets(index, ask, per_block, slice_rows, new_best)
+        found = _search_buckets(index, ask, scheme, per_block, slice_rows, new_best)
     best_first = Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("id"))
     # A row found through several tables has one score, hence one rank, and the
     # second step needs no exchange of its own.
@@ -185,7 +187,8 @@ def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_be
     return hits.select(cell, "id", "vec").mapInArrow(scan, FOUND)
 
 
-def _search_buckets(index: DataFrame, ask: DataFrame, block: int, slice_rows: int, new_best) -> DataFrame:
+def _search_buckets(index: DataFrame, ask: DataFrame, scheme: SignHash, block: int, slice_rows: int,
+                    new_best) -> DataFrame:
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("tbl", "bucket").agg(F.count(F.lit(1)).alias(name))
 
@@ -195,6 +198,11 @@ def _search_buckets(index: DataFrame, ask: DataFrame, block: int, slice_rows: in
         F.ceil(F.col("asks") / block).cast("int").alias("blocks"),
     )
 
+    # One row per bucket that occurs: with few bits there cannot be many, and the
+    # vectors then need to be exchanged only once, by cell.
+    if scheme.tables << scheme.bits <= BROADCAST_BUCKETS:
+        plan = F.broadcast(plan)
+
     def share(key: str, parts: str):
         return F.pmod(F.xxhash64(key), F.col(parts)).cast("int")
 

@@ -35,6 +35,7 @@ ROWS_PER_BATCH_OUT = 20_000
 BROADCAST_BYTES = 64 << 20
 SMALLEST_BLOCK = 1 << 20
 SLICE_ROWS = 1_000_000
+FOUND_ROWS = 1_000_000_000
 
 
 def data_rows(data: DataFrame) -> DataFrame:
@@ -79,6 +80,16 @@ def rank_found(found: DataFrame, k: int) -> DataFrame:
     )
 
 
+def in_fewer_tasks(rows: DataFrame, found_per_task: int) -> DataFrame:
+    """Let a task read several splits where tasks would send more rows than need be.
+
+    Every task sends the best k rows of each query, so the number of tasks times that
+    is exchanged.  No exchange is added, and all cores stay busy.
+    """
+    busy = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(busy, FOUND_ROWS // max(1, found_per_task)))
+
+
 def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join many short batches to fewer long ones."""
     waiting: list[pa.RecordBatch] = []
@@ -178,7 +189,7 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
     dims = dimensions(asked)
     table = small_enough(asked, max_broadcast_bytes, dims)
     if table is not None:
-        found = _search_in_place(rows, table, new_best, metric)
+        found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric)
     else:
         per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
         blocks = math.ceil(asked.count() / per_block)

@@ -21,6 +21,10 @@ def word_rows(table: str, keep: str = "") -> str:
 
 
 COUNTS = f"SELECT word, CAST(count(*) AS BIGINT) AS n FROM ({word_rows('documents')}) GROUP BY word"
+COUNTS_PER_DOC = (
+    f"SELECT doc_id, word, CAST(count(*) AS BIGINT) AS n FROM ({word_rows('documents', 'doc_id,')})"
+    " GROUP BY doc_id, word"
+)
 CHECKSUM = (
     f"SELECT CAST(coalesce(sum(length(word)), 0) AS BIGINT) AS checksum FROM ({word_rows('documents')})"
 )
@@ -228,9 +232,8 @@ def oracles() -> dict[str, str]:
     answers = f"({EXPECTED}) e LEFT JOIN ({NEAREST}) f ON e.qid = f.qid"
     return {
         "word_count": COUNTS,
-        "word_count_per_doc":
-            f"SELECT doc_id, word, CAST(count(*) AS BIGINT) AS n FROM ({word_rows('documents', 'doc_id,')})"
-            " GROUP BY doc_id, word",
+        "word_count_per_doc": COUNTS_PER_DOC,
+        "word_count_in_doc": COUNTS_PER_DOC,
         "word_count_merge": COUNTS,
         "word_count_merge_tables":
             f"SELECT word, CAST(count(*) AS BIGINT) AS n FROM ({merged}) GROUP BY word",

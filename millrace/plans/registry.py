@@ -66,6 +66,12 @@ def word_count_per_doc(spark: SparkSession, folder: str) -> DataFrame:
     return counting.word_count_by(inputs.corpus(spark, folder), ("doc_id",))
 
 
+@query
+def word_count_in_doc(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without an exchange, as a document is one row."""
+    return counting.word_count_in_rows(inputs.corpus(spark, folder), ("doc_id",))
+
+
 @query
 def word_count_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Counts per language, added up."""
@@ -122,7 +128,6 @@ def _documents_stream(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
         .option("maxFilesPerTrigger", 1).parquet(folder).select("text")
-        .repartition(spark.sparkContext.defaultParallelism)
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip_blanks
+from millrace.session import materialise
 
 
 def read_corpus(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
@@ -30,8 +31,9 @@ def number_rows(spark: SparkSession, path: str, keep: Column | None = None,
 
     ``keep`` chooses lines before they are counted.  A file split is read in order by
     one task, so a line's position is the number of lines in the splits before plus
-    its position in its own split.  A first pass counts the lines of each split; that
-    table has one short row per split, however long the files are.
+    its position in its own split.  A first pass, run when called, counts the lines of
+    each split.  That table has one short row per split, however long the files are;
+    it is stored, so that Spark knows its size when it chooses how to join it.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
@@ -42,6 +44,7 @@ def number_rows(spark: SparkSession, path: str, keep: Column | None = None,
     in_order = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "file", "start", "first", F.coalesce(F.sum("size").over(in_order), F.lit(0)).alias("before"))
+    offsets = materialise(offsets, "offsets")
     return lines.join(offsets, ["file", "start"]).select(
         (F.col("before") + F.col("at") - F.col("first")).alias(number), "value")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.counting import merge_counts, word_count
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, spread
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -30,7 +30,7 @@ def count_arriving(stream: DataFrame, store: str, checkpoint: str, text: str = "
     Called again with the same folders it goes on with the files that came since.
     """
     def add(batch: DataFrame, number: int) -> None:
-        word_count(batch, text).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        word_count(spread(batch), text).write.mode("overwrite").parquet(f"{store}/batch={number}")
 
     _start_empty(stream.sparkSession, store)
     query = (

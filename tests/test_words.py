@@ -56,6 +56,13 @@ def test_result_does_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_counting_within_rows_needs_no_exchange(spark):
+    by_key = counting.word_count_by(docs(spark), ("doc_id",))
+    in_rows = counting.word_count_in_rows(docs(spark), ("doc_id",))
+    assert sorted(map(tuple, in_rows.collect())) == sorted(map(tuple, by_key.collect()))
+    assert "Exchange" not in in_rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_merging_counts_per_file_gives_the_global_count(spark):
     per_file = counting.word_count_by(docs(spark), ("doc_id",))
     assert as_dict(counting.merge_counts(per_file)) == dict(expected())
