@@ -18,6 +18,7 @@ import pyarrow as pa
 
 METRICS = ("dot", "cosine", "l2", "l2_expanded")
 ROWS_AT_ONCE = 4096
+FEW_ROWS = 64
 VALUES_AT_ONCE = 1 << 22
 NO_ID = np.iinfo(np.int64).min
 
@@ -48,6 +49,24 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
         return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
+def spare_copies_dropped(ids: np.ndarray, matrix: np.ndarray, most: int, high_id_first: bool) -> np.ndarray:
+    """Places of the rows without those that have ``most`` equals of better id.
+
+    Equal vectors have equal scores, so of any number of copies only the first few by
+    id can be among the best.  Sorting by one weighted sum brings copies together; a
+    copy it should fail to bring together is merely kept.
+    """
+    weights = np.random.default_rng(0).normal(size=matrix.shape[1])
+    order = np.lexsort((-ids if high_id_first else ids, (matrix * weights).sum(axis=1)))
+    near = matrix[order]
+    same = np.zeros(len(ids), dtype=bool)
+    same[1:] = (near[1:] == near[:-1]).all(axis=1)
+    if not same.any():
+        return np.arange(len(ids))
+    start = np.maximum.accumulate(np.where(same, 0, np.arange(len(ids))))
+    return order[np.arange(len(ids)) - start < most]
+
+
 @dataclass(frozen=True)
 class Queries:
     """Query vectors of one block: ids, the row id each must not return, vectors."""
@@ -87,6 +106,9 @@ class Best:
         """Offer rows to all queries, or to the queries at the positions in ``only``."""
         if self.metric == "cosine":
             matrix = unit_rows(matrix)
+        if len(ids) > FEW_ROWS:
+            wanted = spare_copies_dropped(ids, matrix, self.k + 1, self.high_id_first)
+            ids, matrix = ids[wanted], matrix[wanted]
         places = np.arange(len(self.queries)) if only is None else only
         for start in range(0, len(ids), ROWS_AT_ONCE):
             rows = slice(start, start + ROWS_AT_ONCE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from millrace.plans.registry import BUCKETS, DIMENSIONS, QUALITY_SEED, REGISTERS, SCHEME
+from millrace.plans.registry import BUCKETS, DIMENSIONS, NUDGE, QUALITY_SEED, REGISTERS, SCHEME
 
 # The white space characters, in the notation of RE2.
 BLANK = (
@@ -83,7 +83,7 @@ FROM a e JOIN a l ON e.station = l.station WHERE e.decade = 1990 AND l.decade =
 
 def settled(value: str) -> str:
     """Four digits, exact halves pushed to one side as in the queries."""
-    return f"round({value} + 1e-7::DOUBLE, 4)"
+    return f"round({value} + {NUDGE}::DOUBLE, 4)"
 
 
 def positive_share(value: str) -> str:
@@ -227,7 +227,7 @@ SELECT qid, id, round(d, 4) AS distance FROM (
 def oracles() -> dict[str, str]:
     """SQL by query name."""
     merged = " UNION ALL ".join(word_rows(name) for name in ("documents", "conversations", "benchmark"))
-    beta = f"SELECT station, name, round(beta, 6) AS beta FROM ({SLOPES})"
+    beta = f"SELECT station, name, {settled('beta')} AS beta FROM ({SLOPES})"
     nearest_rows = f"SELECT qid, id, round(d, 6) AS distance FROM ({NEAREST})"
     answers = f"({EXPECTED}) e LEFT JOIN ({NEAREST}) f ON e.qid = f.qid"
     return {
@@ -261,9 +261,9 @@ def oracles() -> dict[str, str]:
             f"SELECT decade, CAST(count(avg_t) AS BIGINT) AS known, CAST(count(*) AS BIGINT) AS n,"
             f" round(sum(avg_t), 2) AS total FROM ({DAILY}) GROUP BY decade",
         "group_slope": beta,
-        "group_slope_pairwise": f"SELECT station, name, round(beta, 6) AS beta FROM ({SLOPES_PAIRWISE})",
+        "group_slope_pairwise": f"SELECT station, name, {settled('beta')} AS beta FROM ({SLOPES_PAIRWISE})",
         "slope_top5":
-            f"SELECT station, name, round(beta, 6) AS beta FROM"
+            f"SELECT station, name, {settled('beta')} AS beta FROM"
             f" (SELECT * FROM ({SLOPES}) ORDER BY beta DESC NULLS LAST, station LIMIT 5)",
         "slope_positive_fraction": f"SELECT round({positive_share('beta')}, 6) AS fraction FROM ({SLOPES})",
         "slope_five_numbers": f"SELECT {five_numbers('beta')} FROM ({SLOPES})",

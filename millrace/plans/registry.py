@@ -45,13 +45,17 @@ def rounded(name: str, digits: int = 6) -> Column:
     return F.round(F.col(name), digits).alias(name)
 
 
+# Added before rounding: larger than the rounding noise of sums, and no round number.
+NUDGE = 1.234567e-7
+
+
 def settled(name: str, digits: int = 4) -> Column:
-    """Rounded for means of prices, many of which are exact halves of a last digit.
+    """Rounded, for means and slopes of prices: many are exact halves of a last digit.
 
-    Sums in another order may miss a half by a hair; a little more than that is added
-    first, so that all engines round it to the same side.
+    Sums in another order may miss a half by a hair; the nudge puts all of them on the
+    same side.
     """
-    return F.round(F.col(name) + F.lit(1e-7), digits).alias(name)
+    return F.round(F.col(name) + F.lit(NUDGE), digits).alias(name)
 
 
 # Words
@@ -211,17 +215,17 @@ def daily_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def group_slope(spark: SparkSession, folder: str) -> DataFrame:
-    return _slopes(spark, folder).select("station", "name", rounded("beta"))
+    return _slopes(spark, folder).select("station", "name", settled("beta"))
 
 
 @query
 def group_slope_pairwise(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.station_slopes(_daily(spark, folder), "pairwise").select("station", "name", rounded("beta"))
+    return trends.station_slopes(_daily(spark, folder), "pairwise").select("station", "name", settled("beta"))
 
 
 @query
 def slope_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.top_by(_slopes(spark, folder), "beta", 5, "station").select("station", "name", rounded("beta"))
+    return trends.top_by(_slopes(spark, folder), "beta", 5, "station").select("station", "name", settled("beta"))
 
 
 @query
