@@ -21,7 +21,7 @@ from millrace.operators.neighbours import (
     BROADCAST_BYTES, FOUND, SLICE_ROWS, SMALLEST_BLOCK, data_rows, dimensions, in_fewer_tasks, query_rows,
     rows_within, search_cells, small_enough,
 )
-from millrace.session import ship_package
+from millrace.session import materialise, ship_package
 
 BROADCAST_BUCKETS = 1 << 20
 
@@ -125,7 +125,7 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     """
     ship_package(index.sparkSession)
     asked = query_rows(queries)
-    dims = dimensions(asked)
+    dims = dimensions(index, asked)
 
     def new_best(block: Queries) -> Best:
         return Best(block, k, "dot", True, query_block)
@@ -134,7 +134,8 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     if table is not None:
         found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, new_best)
     else:
-        ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
+        asked = bucket_names(materialise(asked, "queries"), scheme, dims)
+        ask = one_row_per_table(asked, "qid", "skip", "vec")
         per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
         found = _search_buckets(index, ask, scheme, per_block, slice_rows, new_best)
     best_first = Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("id"))

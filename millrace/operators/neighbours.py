@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.blocks import METRICS, Best, Queries, to_matrix, with_vectors
-from millrace.session import ship_package
+from millrace.session import materialise, ship_package
 
 FOUND = "qid bigint, id bigint, score double"
 ROWS_PER_BATCH_OUT = 20_000
@@ -47,10 +47,13 @@ def query_rows(queries: DataFrame) -> DataFrame:
     return queries.select(F.col("qid").cast("bigint").alias("qid"), skip.cast("bigint").alias("skip"), "vec")
 
 
-def dimensions(df: DataFrame) -> int:
-    """Length of the vectors, read from one row; 0 without any."""
-    first = df.select(F.size("vec").alias("d")).filter(F.col("d") > 0).first()
-    return first.d if first else 0
+def dimensions(*tables: DataFrame) -> int:
+    """Length of the vectors, read from a row of the first table that has one, else 0."""
+    for df in tables:
+        first = df.select(F.size("vec").alias("d")).filter(F.col("d") > 0).first()
+        if first:
+            return first.d
+    return 0
 
 
 def rows_within(max_bytes: int, dims: int) -> int:
@@ -174,7 +177,8 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
 
     ``query_block`` bounds the score matrix in a task and does not change results.
     Rows and queries without a vector are left out, and under ``cosine`` so are zero
-    vectors.  Looks at the size of ``queries`` when called, which runs small jobs.
+    vectors.  Looks at the size of ``queries`` when called: they are computed once, and
+    held if they fit a broadcast, else stored.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -186,13 +190,14 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
     def new_best(block: Queries) -> Best:
         return Best(block, k, metric, False, query_block)
 
-    dims = dimensions(asked)
+    dims = dimensions(rows, asked)
     table = small_enough(asked, max_broadcast_bytes, dims)
     if table is not None:
         found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric)
     else:
+        asked = materialise(asked, "queries")
         per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
-        blocks = math.ceil(asked.count() / per_block)
+        blocks = max(1, math.ceil(asked.count() / per_block))
         slices = max(1, math.ceil(rows.count() / slice_rows))
         found = search_by_blocks(rows, asked, blocks, slices, new_best, metric)
     ranked = rank_found(found, k)

@@ -26,10 +26,10 @@ def daily_means(readings: DataFrame) -> DataFrame:
     )
 
 
-def station_slopes(daily: DataFrame, missing: str = "reference") -> DataFrame:
+def station_slopes(daily: DataFrame, missing: str = "all_days") -> DataFrame:
     """Least-squares slope of ``avg_t`` on ``jdn`` per station: ``station, name, beta``.
 
-    With ``missing='reference'`` the spread of days counts all rows of the station,
+    With ``missing='all_days'`` the spread of days counts all rows of the station,
     also those without a temperature, so gaps pull the slope towards zero, and a
     station without any temperature has slope 0.  ``'pairwise'`` counts complete
     rows only.  A station with a single day has a null slope.  The name is that of
@@ -39,10 +39,10 @@ def station_slopes(daily: DataFrame, missing: str = "reference") -> DataFrame:
     by grouping sets: all buffers are numbers, so the big aggregation stays a hash
     aggregation, and text is only compared among the few names of a station.
     """
-    if missing not in ("reference", "pairwise"):
-        raise ValueError("missing must be 'reference' or 'pairwise'")
+    if missing not in ("all_days", "pairwise"):
+        raise ValueError("missing must be 'all_days' or 'pairwise'")
     x, y = F.col("jdn").cast("double"), F.col("avg_t").cast("double")
-    if missing == "reference":
+    if missing == "all_days":
         cross, spread = F.coalesce(F.regr_sxy(y, x), F.lit(0.0)), F.var_pop(x) * F.count(x)
     else:
         cross, spread = F.regr_sxy(y, x), F.regr_sxx(y, x)

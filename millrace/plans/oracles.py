@@ -240,21 +240,21 @@ def oracles() -> dict[str, str]:
         "word_checksum": CHECKSUM,
         "word_checksum_direct": CHECKSUM,
         "word_top10": TOP10,
-        "stream_word_counts": COUNTS,
+        "stream_word_count": COUNTS,
         "stream_running_counts": COUNTS,
         "stream_top10": TOP10,
         "stream_checksum": CHECKSUM,
         "keyed_sum": TOTALS,
-        "keyed_sum_top5": f"{TOTALS} ORDER BY total DESC, name DESC LIMIT 5",
+        "keyed_sum_topk": f"{TOTALS} ORDER BY total DESC, name DESC LIMIT 5",
         "keyed_sum_all": TOTALS,
         "out_degree": OUT_DEGREE,
         "follows_summary": degree_summary(OUT_DEGREE),
         "in_degree": IN_DEGREE,
         "followers_summary": degree_summary(IN_DEGREE),
-        "julian_day_number":
+        "julian_day":
             "SELECT o_orderkey, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) + 2440588"
             " AS INTEGER) AS jdn FROM orders",
-        "decade_of_date":
+        "decade":
             "SELECT CAST(year(o_orderdate) // 10 * 10 AS INTEGER) AS decade, CAST(count(*) AS BIGINT) AS n"
             " FROM orders GROUP BY 1",
         "daily_mean":
@@ -283,6 +283,9 @@ def oracles() -> dict[str, str]:
         "hll_jr": UPDATES,
         "hll_registers": REACHED,
         "hll_estimate": ESTIMATE,
+        "hll_against_exact":
+            "SELECT CAST(count(DISTINCT word) AS BIGINT) AS exact, true AS ours_near, true AS builtin_near"
+            f" FROM ({word_rows('documents')})",
         "hash_bucket_histogram": HISTOGRAM,
         "hash_bucket_stats": QUALITY,
         "vec_normalize":

@@ -37,7 +37,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register under the function's name, less a closing underscore."""
+    QUERIES[build.__name__.removesuffix("_")] = build
     return build
 
 
@@ -106,7 +107,7 @@ def word_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def stream_word_counts(spark: SparkSession, folder: str) -> DataFrame:
+def stream_word_count_(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as a file stream, counted batch by batch."""
     return stream_word_count(_documents_stream(spark, folder))
 
@@ -119,12 +120,12 @@ def stream_running_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_top10(spark: SparkSession, folder: str) -> DataFrame:
-    return counting.top_words(stream_word_counts(spark, folder))
+    return counting.top_words(stream_word_count_(spark, folder))
 
 
 @query
 def stream_checksum(spark: SparkSession, folder: str) -> DataFrame:
-    return counting.checksum(stream_word_counts(spark, folder))
+    return counting.checksum(stream_word_count_(spark, folder))
 
 
 def _documents_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,7 +144,7 @@ def keyed_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def keyed_sum_top5(spark: SparkSession, folder: str) -> DataFrame:
+def keyed_sum_topk(spark: SparkSession, folder: str) -> DataFrame:
     return totals.largest(totals.star_totals(inputs.resources(spark, folder)), 5)
 
 
@@ -194,13 +195,13 @@ def _changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def julian_day_number(spark: SparkSession, folder: str) -> DataFrame:
+def julian_day_(spark: SparkSession, folder: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     return inputs.table(spark, folder, "orders").select("o_orderkey", julian_day(day).alias("jdn"))
 
 
 @query
-def decade_of_date(spark: SparkSession, folder: str) -> DataFrame:
+def decade_(spark: SparkSession, folder: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     return inputs.table(spark, folder, "orders").groupBy(decade(day).alias("decade")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -306,6 +307,23 @@ def hll_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return reports.distinct_words(inputs.corpus(spark, folder), REGISTERS).select(rounded("estimate", 4))
 
 
+@query
+def hll_against_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact number of distinct words, and whether both estimates come near it."""
+    tokens = _words(spark, folder)
+    exact = tokens.agg(F.count_distinct("word").alias("exact"))
+    ours = reports.distinct_words(inputs.corpus(spark, folder), REGISTERS).select(F.col("estimate").alias("ours"))
+    builtin = sketches.builtin_distinct(tokens, "word").select(F.col("estimate").alias("builtin"))
+    one_row = exact.select("exact", F.lit(1).alias("row"))
+    for estimate in (ours, builtin):
+        one_row = one_row.join(estimate.withColumn("row", F.lit(1)), "row")
+
+    def near(estimate: str) -> Column:
+        return (F.abs(F.col(estimate) - F.col("exact")) <= 0.1 * F.col("exact")).alias(f"{estimate}_near")
+
+    return one_row.select("exact", near("ours"), near("builtin"))
+
+
 @query
 def hash_bucket_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return sketches.hash_histogram(_words(spark, folder).distinct(), "word", BUCKETS, QUALITY_SEED)

@@ -22,7 +22,7 @@ def readings(spark, rows):
         [(s, n, START + dt.timedelta(days=d), t, t) for s, n, d, t in rows], READINGS)
 
 
-def slopes(spark, rows, missing="reference"):
+def slopes(spark, rows, missing="all_days"):
     frame = trends.station_slopes(trends.daily_means(readings(spark, rows)), missing)
     return {row["station"]: (row["name"], row["beta"]) for row in frame.collect()}
 
