@@ -50,9 +50,12 @@ def query_rows(queries: DataFrame) -> DataFrame:
 def dimensions(*tables: DataFrame) -> int:
     """Length of the vectors, read from a row of the first table that has one, else 0."""
     for df in tables:
-        first = df.select(F.size("vec").alias("d")).filter(F.col("d") > 0).first()
-        if first:
-            return first.d
+        lengths = df.select(F.size("vec").alias("d"))
+        # Mostly the first row has a vector; a filter would compute vectors twice.
+        for some in (lengths, lengths.filter(F.col("d") > 0)):
+            first = some.first()
+            if first and first.d and first.d > 0:
+                return first.d
     return 0
 
 

@@ -26,18 +26,13 @@ def daily_means(readings: DataFrame) -> DataFrame:
     )
 
 
-def station_slopes(daily: DataFrame, missing: str = "all_days") -> DataFrame:
-    """Least-squares slope of ``avg_t`` on ``jdn`` per station: ``station, name, beta``.
+def station_profile(daily: DataFrame, decades: tuple[int, ...] = (), missing: str = "all_days") -> DataFrame:
+    """All that slopes and decade averages need, from one scan.
 
-    With ``missing='all_days'`` the spread of days counts all rows of the station,
-    also those without a temperature, so gaps pull the slope towards zero, and a
-    station without any temperature has slope 0.  ``'pairwise'`` counts complete
-    rows only.  A station with a single day has a null slope.  The name is that of
-    the earliest day.
-
-    The moments per station and the first day per (station, name) come from one scan
-    by grouping sets: all buffers are numbers, so the big aggregation stays a hash
-    aggregation, and text is only compared among the few names of a station.
+    One row per station with its slope, one per station and name with the first day,
+    and one per station, name and decade asked for (or none of them) with the mean
+    temperature; ``level`` is 'station', 'name' or 'decade'.  All buffers are numbers,
+    so the big aggregation stays a hash aggregation; text would make it a sorted one.
     """
     if missing not in ("all_days", "pairwise"):
         raise ValueError("missing must be 'all_days' or 'pairwise'")
@@ -46,19 +41,48 @@ def station_slopes(daily: DataFrame, missing: str = "all_days") -> DataFrame:
         cross, spread = F.coalesce(F.regr_sxy(y, x), F.lit(0.0)), F.var_pop(x) * F.count(x)
     else:
         cross, spread = F.regr_sxy(y, x), F.regr_sxx(y, x)
-    grouped = daily.groupingSets([["station"], ["station", "name"]], "station", "name").agg(
-        F.grouping("name").alias("whole"),
+    chosen = F.col("decade").isin(*decades) if decades else F.lit(False)
+    rows = daily.select("station", "name", "jdn", "avg_t", F.when(chosen, F.col("decade")).alias("decade"))
+    levels = [["station"], ["station", "name"]] + ([["station", "name", "decade"]] if decades else [])
+    keys = levels[-1]
+    level = F.when(F.grouping("name") == 1, "station")
+    if decades:
+        level = level.when(F.grouping("decade") == 0, "decade")
+    return rows.groupingSets(levels, *keys).agg(
+        level.otherwise("name").alias("level"),
         F.min("jdn").alias("first_day"),
         (cross / F.nullif(spread, F.lit(0.0))).alias("beta"),
+        F.avg("avg_t").alias("mean_t"),
     )
-    whole = F.col("whole") == 1
+
+
+def slopes_of(profile: DataFrame) -> DataFrame:
+    """``station, name, beta`` from a profile; the name is that of the earliest day."""
+    whole = F.col("level") == "station"
     dated = F.struct(F.coalesce("first_day", F.lit(UNDATED)).alias("day"), "name")
-    earliest = F.min(F.when(~whole, dated))
-    return grouped.groupBy("station").agg(
+    earliest = F.min(F.when(F.col("level") == "name", dated))
+    return profile.filter(F.col("level") != "decade").groupBy("station").agg(
         earliest["name"].alias("name"), F.max(F.when(whole, F.col("beta"))).alias("beta")
     )
 
 
+def averages_of(profile: DataFrame) -> DataFrame:
+    """``station, name, decade, decade_avg`` from a profile."""
+    rows = profile.filter((F.col("level") == "decade") & F.col("decade").isNotNull())
+    return rows.select("station", "name", "decade", F.col("mean_t").alias("decade_avg"))
+
+
+def station_slopes(daily: DataFrame, missing: str = "all_days") -> DataFrame:
+    """Least-squares slope of ``avg_t`` on ``jdn`` per station: ``station, name, beta``.
+
+    With ``missing='all_days'`` the spread of days counts all rows of the station,
+    also those without a temperature, so gaps pull the slope towards zero, and a
+    station without any temperature has slope 0.  ``'pairwise'`` counts complete
+    rows only.  A station with a single day has a null slope.
+    """
+    return slopes_of(station_profile(daily, (), missing))
+
+
 def within_decades(day: Column, decades: tuple[int, ...]) -> Column:
     """True for dates in the decades, as date ranges that a scan can skip by."""
     chosen = F.lit(False)
@@ -74,20 +98,27 @@ def decade_averages(daily: DataFrame, decades: tuple[int, ...]) -> DataFrame:
     return chosen.groupBy("station", "name", "decade").agg(F.avg("avg_t").alias("decade_avg"))
 
 
-def decade_difference(daily: DataFrame, early: int = 1910, late: int = 2010) -> DataFrame:
-    """Change in degrees Celsius between two decades, for stations that have both.
+def decade_change(early: DataFrame, late: DataFrame) -> DataFrame:
+    """Change in degrees Celsius between the averages of two decades, where there are both.
 
     Averages are per name but joined by station, so a renamed station has a row per
-    pair of names.  Each side scans its own range of dates and is reduced to one row
-    per name before it meets the other.
+    pair of names.
     """
-    before = decade_averages(daily, (early,)).select(
-        "station", "name", F.col("decade_avg").alias("early_avg"))
-    after = decade_averages(daily, (late,)).select("station", F.col("decade_avg").alias("late_avg"))
+    before = early.select("station", "name", F.col("decade_avg").alias("early_avg"))
+    after = late.select("station", F.col("decade_avg").alias("late_avg"))
     change = fahrenheit_gap_in_celsius(F.col("early_avg"), F.col("late_avg"))
     return before.join(after, "station").withColumn("diff_c", change)
 
 
+def decade_difference(daily: DataFrame, early: int = 1910, late: int = 2010) -> DataFrame:
+    """The same from daily means.
+
+    The dates of each decade reach the scan of its side, and each side is reduced to
+    one row per name before it meets the other.
+    """
+    return decade_change(decade_averages(daily, (early,)), decade_averages(daily, (late,)))
+
+
 def top_by(df: DataFrame, value: str, k: int = 5, *ties: str) -> DataFrame:
     """The k rows with the largest value, nulls last, ties in the order of ``ties``."""
     return df.orderBy(F.desc_nulls_last(value), *ties).limit(k)

@@ -276,6 +276,9 @@ def oracles() -> dict[str, str]:
             f" (SELECT * FROM ({CHANGES}) ORDER BY diff_c DESC NULLS LAST, station LIMIT 5)",
         "decade_diff_positive_fraction": f"SELECT round({positive_share('diff_c')}, 6) AS fraction FROM ({CHANGES})",
         "decade_diff_five_numbers": f"SELECT {five_numbers('diff_c')} FROM ({CHANGES})",
+        "climate_profile":
+            f"SELECT station, name, 0 AS decade, {settled('beta')} AS value FROM ({SLOPES}) UNION ALL"
+            f" SELECT station, name, decade, {settled('decade_avg')} FROM ({DECADE_AVERAGES})",
         "climate_report":
             f"{report_part('slope', SLOPES, 'beta')} UNION ALL {report_part('difference', CHANGES, 'diff_c')}",
         "hash_murmur3":

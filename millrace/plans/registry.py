@@ -269,6 +269,17 @@ def decade_diff_five_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return row.select(*[settled(name) for name in trends.FIVE_RANKS])
 
 
+@query
+def climate_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Slopes and decade averages of one scan, side by side."""
+    profile = trends.station_profile(_daily(spark, folder), DECADES)
+    slopes = trends.slopes_of(profile).select(
+        "station", "name", F.lit(0).alias("decade"), settled("beta").alias("value"))
+    averages = trends.averages_of(profile).select(
+        "station", "name", "decade", settled("decade_avg").alias("value"))
+    return slopes.unionByName(averages)
+
+
 @query
 def climate_report(spark: SparkSession, folder: str) -> DataFrame:
     """Both summaries of the report, one row each."""

@@ -45,13 +45,14 @@ def climate_report(readings: DataFrame, early: int = 1910, late: int = 2010,
                    k: int = 5, error: float = 0.01) -> ClimateReport:
     """Steepest trends and largest changes, with the spread of both.
 
-    Slopes and differences have one row per station and are stored, as two results
-    are made of each.  Without any station that has both decades the difference
-    summary is one row of nulls.
+    The readings are scanned once, when called, into a stored profile of a few rows
+    per station; everything else is computed from that.  Without any station that has
+    both decades the difference summary is one row of nulls.
     """
-    daily = trends.daily_means(readings)
-    slopes = materialise(trends.station_slopes(daily), "slopes")
-    changes = materialise(trends.decade_difference(daily, early, late), "changes")
+    profile = materialise(trends.station_profile(trends.daily_means(readings), (early, late)), "profile")
+    slopes = trends.slopes_of(profile)
+    averages = trends.averages_of(profile)
+    changes = trends.decade_change(*(averages.filter(F.col("decade") == decade) for decade in (early, late)))
     return ClimateReport(
         trends.top_by(slopes, "beta", k, "station"),
         trends.summary(slopes, "beta", error),

@@ -109,6 +109,20 @@ def test_decade_difference(spark):
     assert got["gap", "G"] is None
 
 
+def test_one_scan_gives_the_same_as_separate_ones(spark):
+    daily = trends.daily_means(spark.createDataFrame(decade_rows(), READINGS))
+    profile = trends.station_profile(daily, (1910, 2010))
+
+    def rows(df):
+        return sorted(tuple(row) for row in df.fillna(-99.0).collect())
+
+    assert rows(trends.slopes_of(profile)) == rows(trends.station_slopes(daily))
+    assert rows(trends.averages_of(profile)) == rows(trends.decade_averages(daily, (1910, 2010)))
+    averages = trends.averages_of(profile)
+    change = trends.decade_change(averages.filter("decade = 1910"), averages.filter("decade = 2010"))
+    assert rows(change) == rows(trends.decade_difference(daily))
+
+
 def test_fraction_counts_nulls_below_the_line(spark):
     frame = spark.createDataFrame([(1.0,), (-1.0,), (None,), (2.0,)], "v double")
     assert trends.positive_fraction(frame, "v").first().fraction == 0.5
