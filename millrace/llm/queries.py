@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, pseudonyms, quality_rules, secret_scan
+from millrace.llm import chat, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,16 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeated(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n_words", F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"])).alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.size("removed").cast("long").alias("n_spans"))
+
+
+@query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
