@@ -2,7 +2,7 @@
 
 Operators that ask "does this window occur elsewhere?" for every window of a corpus would move a
 row per window.  Instead each block of documents sends its sorted, distinct hashes, cut by ranges of
-the hash, as packed runs; a range compares the runs of all blocks and answers each with one bit a
+the hash, as packed runs; a range compares the runs of all blocks and answers each with a code a
 hash.  A window that a third of all documents hold is one hash a block, so no key is hot.  Blocks are
 rows of a written table, so that the answer meets the very block that asked, whatever executors or
 splits there are by then.
@@ -127,12 +127,12 @@ def ordered_blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def exchange(blocks: DataFrame, hashes_of: Callable[[list, list[int], bytes], np.ndarray], total: int,
              mark: Callable[[np.ndarray], np.ndarray], order: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """Answers (block, part, answer), a bit for each of the block's hashes within a range, and the
+    """Answers (block, part, answer), a code for each of the block's hashes within a range, and the
     bits of a hash that name its range.
 
     ``hashes_of`` gives a block's sorted distinct hashes; ``total`` about how many there are in all.
     ``mark`` gets, for the sorted values of a range, whether each is the first of its equals, and
-    says which to answer with yes.  Equal values are in the order of ``order`` (block, place), or of blocks.
+    gives a code to each, zero for no news.  Equal values are in the order of ``order`` (block, place), or of blocks.
     """
     parts = 1
     while parts * RANGE_HASHES < total:
@@ -161,11 +161,12 @@ def exchange(blocks: DataFrame, hashes_of: Callable[[list, list[int], bytes], np
         by_value = np.argsort(values, kind="stable")
         ordered = values[by_value]
         first = np.r_[True, ordered[1:] != ordered[:-1]]
-        yes = np.empty(len(values), dtype=bool)
-        yes[by_value] = mark(first)
+        codes = np.empty(len(values), dtype=np.uint8)
+        codes[by_value] = mark(first)
         answers, at = [], 0
         for run in each:
-            answers.append(pack_bytes(np.packbits(yes[at:at + len(run)]).tobytes(), 1) if yes[at:at + len(run)].any() else None)
+            own = codes[at:at + len(run)]
+            answers.append(pack_bytes(own.tobytes(), 1) if own.any() else None)
             at += len(run)
         said = frame[["block", "part"]].assign(answer=answers)
         return said[said["answer"].notna()]
@@ -180,10 +181,10 @@ def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def read_answers(answers: list[dict] | None, values: np.ndarray, bits: int) -> np.ndarray:
-    """The bits of a block's answers in the order of its sorted distinct hashes."""
-    yes = np.zeros(len(values), dtype=bool)
+    """The codes of a block's answers in the order of its sorted distinct hashes."""
+    codes = np.zeros(len(values), dtype=np.uint8)
     parts = values >> np.uint64(64 - bits) if bits else np.zeros(len(values), dtype=np.uint64)
     for answer in answers or ():
         begin, end = np.searchsorted(parts, np.array([answer["part"], answer["part"] + 1], dtype=np.uint64))
-        yes[begin:end] = np.unpackbits(np.frombuffer(unpack_bytes(answer["answer"]), dtype=np.uint8), count=end - begin)
-    return yes
+        codes[begin:end] = np.frombuffer(unpack_bytes(answer["answer"]), dtype=np.uint8)
+    return codes

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup
+from millrace.llm import chat, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,11 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"])).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -191,10 +191,10 @@ def _compare(batches: Iterator[pa.RecordBatch], crowd: int | None) -> Iterator[p
     yield from linked(held)
 
 
-def links(marks: DataFrame) -> DataFrame:
+def links(marks: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) between different fingerprints that connect all within the distance."""
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _compare(batches, CROWD)
+        return _compare(batches, crowd)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _compare(batches, None)

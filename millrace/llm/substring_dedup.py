@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import exchange, ordered_blocks, read_answers, texts_of, with_answers
+from millrace.llm.blocks import BLOCK_BYTES, exchange, ordered_blocks, read_answers, texts_of, with_answers
 
 WINDOW = 13
 #: Odd, so that it can be undone modulo 2^64; about 2^64 / golden ratio.
@@ -65,7 +65,7 @@ def _repeated(ids: list, sizes: list[int], payload: bytes, answers: list[dict] |
     group = np.cumsum(first) - 1
     rank = np.repeat(_ranks(ids), np.diff(firsts))[at][by_hash]
     earlier = rank > rank[first][group] if len(ordered) else np.zeros(0, dtype=bool)
-    elsewhere = read_answers(answers, ordered[first], bits)
+    elsewhere = read_answers(answers, ordered[first], bits) > 0
     removed = at[by_hash[earlier | elsewhere[group]]]
     change = np.zeros(int(firsts[-1]) + 1, dtype=np.int64)
     np.add.at(change, removed, 1)
@@ -73,7 +73,8 @@ def _repeated(ids: list, sizes: list[int], payload: bytes, answers: list[dict] |
     return words, firsts, np.cumsum(change[:-1]) > 0
 
 
-def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: id, n_words, kept (the words left, joined by one space), removed
     (maximal intervals of word positions, ends exclusive).
 
@@ -83,7 +84,7 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     whole.  An empty table gives an empty result; further columns are not read.  Equality is that of
     64-bit hashes: among n different windows about n^2 / 2^65 pairs share one by chance.
     """
-    blocks, order = ordered_blocks(docs, id_column, text_column)
+    blocks, order = ordered_blocks(docs, id_column, text_column, block_bytes)
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
 
