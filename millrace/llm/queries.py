@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
+from millrace.llm import chat, kneser_ney, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,13 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"])).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled good and not toxic."""
+    return table(spark, folder, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.classify_quality(table(spark, folder, "documents"), trusted_ids(spark, folder))
