@@ -34,6 +34,7 @@ QUANTILE = 0.995
 BLOCK_CHARACTERS = 4 << 20
 #: Ids of trusted documents are broadcast up to so many bytes, else joined by exchange.
 BROADCAST_BYTES = 64 << 20
+LEAST_DISCOUNT = 0.05
 #: A symbol takes 21 bits, as code points do.  Start of a text, and a word like the one before.
 BITS = 21
 START, AGAIN = 2, 0x10FFFE
@@ -135,7 +136,7 @@ def _trusted_counts(blocks: DataFrame) -> DataFrame:
 
 def _discounts(counts: DataFrame, order: int) -> DataFrame:
     """Per language d1, d2, d3 of one order from its counts of counts; a half for each step of
-    one where too few are known."""
+    one where too few are known, and never nothing, so that all grams keep some probability."""
     def of(k: int) -> Column:
         return F.count_if(F.col("n") == k).cast("double")
 
@@ -145,7 +146,7 @@ def _discounts(counts: DataFrame, order: int) -> DataFrame:
     def discount(k: int) -> Column:
         own = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
         usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{k}") > 0)
-        return F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), own))).otherwise(F.lit(0.5 * k)).alias(f"d{k}_{order}")
+        return F.when(usable, F.greatest(F.lit(LEAST_DISCOUNT), F.least(F.lit(float(k)), own))).otherwise(F.lit(0.5 * k)).alias(f"d{k}_{order}")
 
     return totals.select("lang", *[discount(k) for k in (1, 2, 3)])
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, kneser_ney, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
+from millrace.llm import chat, decontaminate, kneser_ney, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,8 @@ def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.classify_quality(table(spark, folder, "documents"), trusted_ids(spark, folder))
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
