@@ -38,8 +38,9 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     marked = near_duplicates(docs)
     kept = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
     left = _by_id(docs, kept, "inner")
-    single = left.filter("_rows = 1").select(docs.columns)
-    several = left.filter("_rows > 1").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    own = [docs[name] for name in docs.columns]
+    single = left.filter(kept["_rows"] == 1).select(own)
+    several = left.filter(kept["_rows"] > 1).select(own).dropDuplicates(["doc_id", "text"])
     return single.unionByName(several)
 
 
@@ -61,8 +62,8 @@ def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: each document as often as it is taken, numbered in mix_copy from 1."""
     copies = mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    kept = [name for name in docs.columns if name != COPY]
-    return _by_id(docs, copies, "inner").select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias(COPY))
+    own = [docs[name] for name in docs.columns if name != COPY]
+    return _by_id(docs, copies, "inner").select(*own, F.explode(F.sequence(F.lit(1), copies["_copies"].cast("int"))).alias(COPY))
 
 
 STAGES = [
