@@ -28,31 +28,48 @@ def resources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def follow_links(spark: SparkSession, folder: str) -> DataFrame:
-    """A part follows the orders that returned many of it; every part is a user."""
+    """A part follows the orders that hold it; every part is a user."""
     nobody = F.lit(None).cast("bigint")
     users = table(spark, folder, "part").select(F.col("p_partkey").alias("user"), nobody.alias("followed"))
-    returned = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
-    edges = table(spark, folder, "lineitem").filter(returned).select(
+    edges = table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("user"), F.col("l_orderkey").alias("followed"))
     return users.unionByName(edges)
 
 
+def adjacency_lines(spark: SparkSession, folder: str, ids_per_line: int = 50) -> DataFrame:
+    """The same graph as ``user: id id ...`` lines: ``value``.
+
+    A user with many ids has several lines of about ``ids_per_line``, dealt by a hash of the row,
+    so that no array grows with the busiest user.
+    """
+    links = follow_links(spark, folder).withColumn("row", F.monotonically_increasing_id())
+    lines = links.groupBy("user").agg(F.ceil(F.count("followed") / ids_per_line).alias("lines"))
+    dealt = links.join(lines, "user").withColumn("line", F.pmod(F.xxhash64("followed", "row"), F.greatest("lines", F.lit(1))))
+    ids = F.array_join(F.transform(F.collect_list("followed"), lambda x: x.cast("string")), " ")
+    listed = dealt.groupBy("user", "line").agg(ids.alias("ids"))
+    return listed.select(F.concat(F.col("user").cast("string"), F.lit(": "), "ids").alias("value"))
+
+
 def readings(spark: SparkSession, folder: str) -> DataFrame:
-    """A customer is a station, and each order a day's reading.
+    """A customer is a station, and each order a day's reading, without a name as yet.
 
-    The station keeps its key's type, so that the join's partitioning serves the
-    aggregations by station as well.
+    The name depends on the station alone, so it is joined to the reduced rows (``named``): raw
+    rows are combined before they move, and no task gets all rows of a busy station.
     """
     price = F.col("o_totalprice")
-    orders = table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("station"),
+    return table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("station"), F.lit("").alias("name"),
         F.col("o_orderdate").cast("date").alias("date"),
         (price * F.lit(0.9)).alias("tmin"),
         F.when(F.col("o_orderstatus") != "P", price).alias("tmax"),
     )
+
+
+def named(reduced: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per station with their names."""
     names = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("station"), F.col("c_name").alias("name"))
-    return orders.join(names, "station")
+    return reduced.drop("name").join(names, "station")
 
 
 def _scaled(factor: Column, offset: Column | None = None) -> Column:

@@ -33,10 +33,7 @@ TOP10 = f"{COUNTS} ORDER BY n DESC, word DESC LIMIT 10"
 STAR = "CASE WHEN p_type = 'STANDARD' THEN p_brand ELSE p_type || ' ' || p_brand END"
 TOTALS = f"SELECT {STAR} AS name, CAST(sum(p_size) AS BIGINT) AS total FROM part GROUP BY 1"
 
-EDGES = (
-    "SELECT l_partkey AS follower, l_orderkey AS followed FROM lineitem"
-    " WHERE l_returnflag = 'R' AND l_quantity >= 45"
-)
+EDGES = "SELECT l_partkey AS follower, l_orderkey AS followed FROM lineitem"
 OUT_DEGREE = (
     f"SELECT u AS user, CAST(sum(c) AS BIGINT) AS degree FROM (SELECT p_partkey AS u, 0 AS c FROM part"
     f" UNION ALL SELECT follower, 1 FROM ({EDGES})) GROUP BY u"
@@ -230,6 +227,9 @@ def oracles() -> dict[str, str]:
     beta = f"SELECT station, name, {settled('beta')} AS beta FROM ({SLOPES})"
     nearest_rows = f"SELECT qid, id, round(d, 6) AS distance FROM ({NEAREST})"
     answers = f"({EXPECTED}) e LEFT JOIN ({NEAREST}) f ON e.qid = f.qid"
+    verified = (
+        "SELECT CAST(count(*) AS BIGINT) AS queries,"
+        f" CAST(count(*) FILTER (WHERE label IS DISTINCT FROM expected) AS BIGINT) AS wrong FROM {answers}")
     return {
         "word_count": COUNTS,
         "word_count_per_doc": COUNTS_PER_DOC,
@@ -242,6 +242,10 @@ def oracles() -> dict[str, str]:
         "word_top10": TOP10,
         "stream_word_count": COUNTS,
         "stream_running_counts": COUNTS,
+        "stream_text_files": COUNTS,
+        "corpus_report":
+            f"SELECT 'checksum' AS part, '' AS word, checksum AS n FROM ({CHECKSUM})"
+            f" UNION ALL SELECT 'top', word, n FROM ({TOP10})",
         "stream_top10": TOP10,
         "stream_checksum": CHECKSUM,
         "keyed_sum": TOTALS,
@@ -281,6 +285,11 @@ def oracles() -> dict[str, str]:
             f" SELECT station, name, decade, {settled('decade_avg')} FROM ({DECADE_AVERAGES})",
         "climate_report":
             f"{report_part('slope', SLOPES, 'beta')} UNION ALL {report_part('difference', CHANGES, 'diff_c')}",
+        "climate_report_top":
+            f"SELECT 'slope' AS part, station, name, {settled('beta')} AS value FROM"
+            f" (SELECT * FROM ({SLOPES}) ORDER BY beta DESC NULLS LAST, station LIMIT 5) UNION ALL"
+            f" SELECT 'difference', station, name, {settled('diff_c')} FROM"
+            f" (SELECT * FROM ({CHANGES}) ORDER BY diff_c DESC NULLS LAST, station LIMIT 5)",
         "hash_murmur3":
             f"SELECT a.word, a.h, b.h AS h_seeded FROM ({HASHED}) a JOIN ({HASHED_QUALITY}) b ON a.word = b.word",
         "hll_jr": UPDATES,
@@ -302,9 +311,8 @@ def oracles() -> dict[str, str]:
         "vec_nn_l2": nearest_rows,
         "vec_nn_l2_expanded": f"SELECT qid, id, round(d * d, 6) AS squared FROM ({NEAREST})",
         "vec_nn_l2_cells": nearest_rows,
-        "vec_nn_verify":
-            "SELECT CAST(count(*) AS BIGINT) AS queries,"
-            f" CAST(count(*) FILTER (WHERE label IS DISTINCT FROM expected) AS BIGINT) AS wrong FROM {answers}",
+        "vec_nn_verify": verified,
+        "answers_from_files": verified,
         "vec_nn_mismatches":
             f"SELECT e.qid, label AS got, expected FROM {answers} WHERE label IS DISTINCT FROM expected",
         "points_nearest": POINTS,

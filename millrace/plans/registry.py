@@ -21,7 +21,7 @@ from millrace.operators.neighbours import nearest
 from millrace.plans import inputs, reports
 from millrace.session import scratch_dir
 from millrace.sources import tables, text
-from millrace.streaming.counting import stream_word_count
+from millrace.streaming.counting import stream_word_count, text_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,12 +128,31 @@ def stream_checksum(spark: SparkSession, folder: str) -> DataFrame:
     return counting.checksum(stream_word_count_(spark, folder))
 
 
-def _documents_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = inputs.table(spark, folder, "documents").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-        .option("maxFilesPerTrigger", 1).parquet(folder).select("text")
-    )
+@query
+def stream_text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as arriving text files."""
+    return stream_word_count(text_stream(spark, _text_files(spark, folder), STREAM_FILES))
+
+
+#: Files a micro-batch.
+STREAM_FILES = 16
+
+
+def _documents_stream(spark: SparkSession, folder: str, files_per_batch: int = STREAM_FILES) -> DataFrame:
+    """The table as a stream of its files, whether it is one file or a folder of them."""
+    documents = inputs.table(spark, folder, "documents")
+    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", files_per_batch)
+    if any("/documents.parquet/" in file for file in documents.inputFiles()[:1]):
+        return reader.parquet(f"{folder}/documents.parquet").select("text")
+    return reader.option("pathGlobFilter", "documents.parquet").parquet(folder).select("text")
+
+
+@query
+def corpus_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Checksum and top list of one stored count."""
+    report = reports.corpus_report(inputs.corpus(spark, folder))
+    total = report.checksum.select(F.lit("checksum").alias("part"), F.lit("").alias("word"), F.col("checksum").alias("n"))
+    return total.unionByName(report.top.select(F.lit("top").alias("part"), "word", "n"))
 
 
 # Keyed sums
@@ -216,17 +235,19 @@ def daily_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def group_slope(spark: SparkSession, folder: str) -> DataFrame:
-    return _slopes(spark, folder).select("station", "name", settled("beta"))
+    return inputs.named(_slopes(spark, folder), spark, folder).select("station", "name", settled("beta"))
 
 
 @query
 def group_slope_pairwise(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.station_slopes(_daily(spark, folder), "pairwise").select("station", "name", settled("beta"))
+    slopes = trends.station_slopes(_daily(spark, folder), "pairwise")
+    return inputs.named(slopes, spark, folder).select("station", "name", settled("beta"))
 
 
 @query
 def slope_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.top_by(_slopes(spark, folder), "beta", 5, "station").select("station", "name", settled("beta"))
+    top = trends.top_by(_slopes(spark, folder), "beta", 5, "station")
+    return inputs.named(top, spark, folder).select("station", "name", settled("beta"))
 
 
 @query
@@ -242,20 +263,20 @@ def slope_five_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def decade_avg(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.decade_averages(_daily(spark, folder), DECADES).select(
-        "station", "name", "decade", settled("decade_avg"))
+    averages = trends.decade_averages(_daily(spark, folder), DECADES)
+    return inputs.named(averages, spark, folder).select("station", "name", "decade", settled("decade_avg"))
 
 
 @query
 def decade_diff(spark: SparkSession, folder: str) -> DataFrame:
-    return _changes(spark, folder).select(
+    return inputs.named(_changes(spark, folder), spark, folder).select(
         "station", "name", settled("early_avg"), settled("late_avg"), settled("diff_c"))
 
 
 @query
 def decade_diff_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.top_by(_changes(spark, folder), "diff_c", 5, "station").select(
-        "station", "name", settled("diff_c"))
+    top = trends.top_by(_changes(spark, folder), "diff_c", 5, "station")
+    return inputs.named(top, spark, folder).select("station", "name", settled("diff_c"))
 
 
 @query
@@ -277,7 +298,7 @@ def climate_profile(spark: SparkSession, folder: str) -> DataFrame:
         "station", "name", F.lit(0).alias("decade"), settled("beta").alias("value"))
     averages = trends.averages_of(profile).select(
         "station", "name", "decade", settled("decade_avg").alias("value"))
-    return slopes.unionByName(averages)
+    return inputs.named(slopes.unionByName(averages), spark, folder).select("station", "name", "decade", "value")
 
 
 @query
@@ -291,6 +312,15 @@ def climate_report(spark: SparkSession, folder: str) -> DataFrame:
     return part("slope", report.slope_summary).unionByName(part("difference", report.difference_summary))
 
 
+@query
+def climate_report_top(spark: SparkSession, folder: str) -> DataFrame:
+    """Both top lists of the report."""
+    report = reports.climate_report(inputs.readings(spark, folder), *DECADES, error=EXACT)
+    slopes = report.top_slopes.select(F.lit("slope").alias("part"), "station", settled("beta").alias("value"))
+    changes = report.top_differences.select(F.lit("difference").alias("part"), "station", settled("diff_c").alias("value"))
+    return inputs.named(slopes.unionByName(changes), spark, folder).select("part", "station", "name", "value")
+
+
 # Hashes and sketches
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
@@ -472,19 +502,23 @@ def _stored(df: DataFrame, purpose: str, fmt: str = "text", **options: object) -
     return path
 
 
-@query
-def scan_text_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as text files in folders by language, walked and counted."""
+def _text_files(spark: SparkSession, folder: str) -> str:
+    """Documents as text files in folders by language."""
     path = scratch_dir(spark, "corpus")
     inputs.corpus(spark, folder).select("lang", "text").write.partitionBy("lang").text(path)
-    return counting.word_count(text.read_corpus(spark, path))
+    return path
+
+
+@query
+def scan_text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as text files, walked and counted."""
+    return counting.word_count(text.read_corpus(spark, _text_files(spark, folder)))
 
 
 @query
 def scan_adjacency(spark: SparkSession, folder: str) -> DataFrame:
-    """The graph as lines, one per link, parsed back: in-degrees."""
-    link = F.concat_ws(" ", F.concat(F.col("user").cast("string"), F.lit(":")), F.col("followed").cast("string"))
-    path = _stored(inputs.follow_links(spark, folder).select(link.alias("value")), "graph")
+    """The graph as lines of many ids, parsed back: in-degrees."""
+    path = _stored(inputs.adjacency_lines(spark, folder), "graph")
     adjacency = graph.parse_adjacency(text.read_lines(spark, path))
     return graph.in_degree(graph.links(adjacency))
 
@@ -492,8 +526,7 @@ def scan_adjacency(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def scan_adjacency_out(spark: SparkSession, folder: str) -> DataFrame:
     """The same lines: ids per line, added up by user."""
-    link = F.concat_ws(" ", F.concat(F.col("user").cast("string"), F.lit(":")), F.col("followed").cast("string"))
-    path = _stored(inputs.follow_links(spark, folder).select(link.alias("value")), "graph")
+    path = _stored(inputs.adjacency_lines(spark, folder), "graph")
     lines = graph.line_out_degree(graph.parse_adjacency(text.read_lines(spark, path)))
     return lines.groupBy("user").agg(F.sum("degree").alias("degree"))
 
@@ -510,12 +543,17 @@ def scan_resources(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_climate(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings as CSV with quoted names and other columns between, read by name."""
-    rows = inputs.readings(spark, folder).select(
+    """Readings as CSV of two layouts, with quoted names and other columns between, read by name."""
+    rows = inputs.named(inputs.readings(spark, folder), spark, folder).select(
         F.col("station").alias("STATION"), F.lit(0.0).alias("ELEVATION"),
         F.concat("name", F.lit(", WY US")).alias("NAME"), F.col("date").alias("DATE"),
         F.col("tmax").alias("TMAX"), F.col("tmin").alias("TMIN"))
-    path = _stored(rows, "climate", "csv", header=True)
+    path = scratch_dir(spark, "climate")
+    # Half of the files have their columns the other way round, and one more.
+    late = F.col("DATE") >= F.lit("1998-01-01").cast("date")
+    rows.filter(~late).write.csv(f"{path}/early", header=True)
+    rows.filter(late).select(*reversed(rows.columns), F.lit(1).alias("PRCP")).write.csv(f"{path}/late", header=True)
+    path = f"{path}/*"
     daily = trends.daily_means(tables.read_climate(spark, path))
     return trends.decade_averages(daily, DECADES).select("station", "name", "decade", settled("decade_avg"))
 
@@ -556,6 +594,22 @@ def scan_query_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(inputs.plain_vectors(spark, folder), asked).select("qid", "id", rounded("score", 4).alias("distance"))
 
 
+@query
+def answers_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The answer check with vectors, queries and expected labels all read from text files."""
+    def lines(*parts: Column) -> Column:
+        return F.concat_ws(" ", *parts).alias("value")
+
+    numbers = F.array_join(F.transform("vec", lambda x: x.cast("float").cast("string")), " ")
+    data = _stored(inputs.plain_vectors(spark, folder).orderBy("id").select(lines("label", numbers)), "vectors")
+    asked = _stored(inputs.shifted_queries(spark, folder).orderBy("qid").select(lines(numbers)), "query_vectors")
+    wanted = _stored(inputs.expected_labels(spark, folder).orderBy("qid").select(F.col("expected").alias("value")), "labels")
+    vectors = text.read_word_vectors(spark, data)
+    found = nearest(vectors, text.read_query_matrix(spark, asked))
+    expected = text.read_query_list(spark, wanted).select("qid", F.col("label").alias("expected"))
+    return reports.count_wrong(found, vectors, expected)
+
+
 @query
 def sink_formats(spark: SparkSession, folder: str) -> DataFrame:
     """Totals stored in each format and read back."""

@@ -14,6 +14,10 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Per application: the fallback scratch folder, and whether the package was shipped.
 _own_folders: dict[str, str] = {}
 _shipped: set[str] = set()
+# Scratch paths handed out per application, for ``remove_scratch``.
+_handed_out: dict[str, list[str]] = {}
+# Tasks that a small scan is shared among at most.
+SPREAD_TASKS = 64
 
 
 def local_session(app: str = "millrace", cores: str = "*", shuffle_partitions: int = 8,
@@ -41,7 +45,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     its own.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or _own_folder(spark)
-    return f"{root.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application was handed so far; how many there were.
+
+    Results that were not stored yet still read them, so this is for the end of a job.
+    """
+    paths = _handed_out.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(path), True) for path in paths)
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -66,12 +82,12 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share a scan of few splits among all cores; leave any larger scan alone.
+    """Share a scan of few splits among the cores; leave any larger scan alone.
 
-    A scan with fewer splits than cores holds at most (cores x split size) bytes,
-    so the extra exchange is bounded; with more splits than cores nothing happens.
+    A scan with fewer than ``SPREAD_TASKS`` splits holds at most that many times the split
+    size, 8 GB by default, however many cores there are; with more nothing happens.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SINK_FORMATS = ("parquet", "json", "csv")
+# The columns of climate files that are used.
+CLIMATE_COLUMNS = ("STATION", "NAME", "DATE", "TMIN", "TMAX")
 
 
 def read_resources(spark: SparkSession, path: str) -> DataFrame:
@@ -21,15 +26,34 @@ def read_resources(spark: SparkSession, path: str) -> DataFrame:
         F.trim(fields[5]).cast("bigint").alias("units"))
 
 
+def read_by_name(spark: SparkSession, path: str, names: tuple[str, ...], infer: bool = False) -> DataFrame:
+    """The named columns of CSV files with a header, each file by its own header.
+
+    Files may have further columns, and any order of them; a file without one of the names is an
+    error.  Files are grouped by their first line, found in a pass over the lines when called, and
+    each group is read by itself; the driver holds the names of the files, as for any read.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    firsts = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.min_by("value", "at").alias("header"))
+    groups = firsts.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    if len(groups) <= 1:
+        return spark.read.csv(path, header=True, inferSchema=infer).select(*names)
+    # Groups with the same columns in another order are told apart by their first line only.
+    parts = [spark.read.csv([unquote(file) for file in group["files"]], header=True, inferSchema=infer).select(*names) for group in groups]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_climate(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """Daily readings from CSV with a header: ``station, name, date, tmin, tmax``.
 
-    Columns are found by name and cast to fixed types, which reads the data once.
+    Columns are found by name, in each file by its own header, and cast to fixed types.
     ``infer`` leaves the types to Spark, at the cost of another pass.
     """
-    table = spark.read.csv(path, header=True, inferSchema=infer)
+    table = read_by_name(spark, path, CLIMATE_COLUMNS, infer)
     if infer:
-        return table.select(*[F.col(c).alias(c.lower()) for c in ("STATION", "NAME", "DATE", "TMIN", "TMAX")])
+        return table.select(*[F.col(c).alias(c.lower()) for c in CLIMATE_COLUMNS])
     return table.select(
         F.col("STATION").alias("station"), F.col("NAME").alias("name"),
         F.col("DATE").cast("date").alias("date"),
@@ -38,7 +62,7 @@ def read_climate(spark: SparkSession, path: str, infer: bool = False) -> DataFra
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """Named points from CSV with a header: ``label, vec`` with easting and northing."""
-    table = spark.read.csv(path, header=True)
+    table = read_by_name(spark, path, ("name", "easting", "northing"))
     return table.select(
         F.col("name").alias("label"),
         F.array(F.col("easting").cast("float"), F.col("northing").cast("float")).alias("vec"))

@@ -9,12 +9,32 @@ from millrace.functions.text import strip_blanks
 from millrace.session import materialise
 
 
-def read_corpus(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+def hidden_names(spark: SparkSession, path: str, suffix: str = ".txt") -> list[str]:
+    """Files below a folder that Spark's sources pass over: they, or a folder on the way, begin
+    with a dot or an underscore.  Lists the tree once, as a read of it does."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root) or system.getFileStatus(root).isFile():
+        return []
+    top, found, files = system.getFileStatus(root).getPath().toString().rstrip("/"), [], system.listFiles(root, True)
+    while files.hasNext():
+        below = files.next().getPath().toString()[len(top) + 1:]
+        if below.endswith(suffix) and any(part[0] in "._" for part in below.split("/")):
+            found.append(below)
+    return found
+
+
+def read_corpus(spark: SparkSession, path: str, whole_files: bool = False, skip_hidden: bool = False) -> DataFrame:
     """All ``.txt`` files below a folder: ``path, text``.
 
     One row per line, so that a large file is shared among tasks; counts per file
-    group by ``path``.  With ``whole_files`` one row per file.
+    group by ``path``.  With ``whole_files`` one row per file.  Spark cannot read names
+    that begin with a dot or an underscore; if there are any, this is an error, unless
+    ``skip_hidden`` says that they are to be left out.
     """
+    if not skip_hidden and (hidden := hidden_names(spark, path)):
+        raise ValueError(f"{len(hidden)} files have names that Spark does not read, rename them or pass skip_hidden: {hidden[:5]}")
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
     lines = reader.text(path, wholetext=whole_files)
     return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
@@ -31,22 +51,22 @@ def number_rows(spark: SparkSession, path: str, keep: Column | None = None,
 
     ``keep`` chooses lines before they are counted.  A file split is read in order by
     one task, so a line's position is the number of lines in the splits before plus
-    its position in its own split.  A first pass, run when called, counts the lines of
-    each split.  That table has one short row per split, however long the files are;
-    it is stored, so that Spark knows its size when it chooses how to join it.
+    its position in its own split.  Where a file is split depends on the cores and
+    settings of the moment, so the lines are read once, when called, and stored with
+    their split; both the count per split and the result come from that table.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     if keep is not None:
         lines = lines.filter(keep)
-    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    lines = materialise(lines.withColumn("at", F.monotonically_increasing_id()), "lines")
     splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
     in_order = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "file", "start", "first", F.coalesce(F.sum("size").over(in_order), F.lit(0)).alias("before"))
-    offsets = materialise(offsets, "offsets")
-    return lines.join(offsets, ["file", "start"]).select(
-        (F.col("before") + F.col("at") - F.col("first")).alias(number), "value")
+    offsets = materialise(splits.select(
+        "file", "start", "first", F.coalesce(F.sum("size").over(in_order), F.lit(0)).alias("before")), "offsets")
+    lost = F.raise_error(F.concat(F.lit("no offset for a split of "), F.col("file"))).cast("bigint")
+    return lines.join(offsets, ["file", "start"], "left").select(
+        (F.coalesce("before", lost) + F.col("at") - F.col("first")).alias(number), "value")
 
 
 def _floats(parts: Column) -> Column:

@@ -17,6 +17,11 @@ def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> Dat
     return reader.option("maxFilesPerTrigger", files_per_batch).text(path).withColumnRenamed("value", "text")
 
 
+#: Running totals are kept on the executors' disks, not in their heaps.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _start_empty(spark: SparkSession, store: str) -> None:
     """Let a store without any batch read as an empty count table."""
     spark.createDataFrame([], "word string, n bigint").write.mode("overwrite").parquet(f"{store}/batch=-1")
@@ -49,18 +54,24 @@ def running_counts(stream: DataFrame, store: str, checkpoint: str, text: str = "
     """The same with the running totals held as streaming state.
 
     Every batch writes the new totals of the words it changed; a word's latest batch
-    holds its total.  State grows with the vocabulary, not with the stream.
+    holds its total.  State grows with the vocabulary, not with the stream, and lies in a
+    state store on disk.
     """
     def add(changed: DataFrame, number: int) -> None:
         changed.write.mode("overwrite").parquet(f"{store}/batch={number}")
 
-    _start_empty(stream.sparkSession, store)
-    query = (
-        word_count(stream, text).writeStream.outputMode("update").foreachBatch(add)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
     spark = stream.sparkSession
+    _start_empty(spark, store)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ON_DISK)
+    try:
+        query = (
+            word_count(stream, text).writeStream.outputMode("update").foreachBatch(add)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
     totals = spark.read.schema("word string, n bigint, batch int").parquet(store)
     return totals.groupBy("word").agg(F.max("n").alias("n"))
 

@@ -30,6 +30,21 @@ def test_query(spark, connection, name):
     assert difference(driver.queries()[name](spark, FOLDER), connection, driver.oracle_sql()[name]) is None
 
 
+@pytest.fixture(scope="module")
+def in_parts(spark, tmp_path_factory):
+    """The same tables, each a folder of several files, as large tables are."""
+    folder = tmp_path_factory.mktemp("parts")
+    for path in sorted(os.listdir(FOLDER)):
+        if path.endswith(".parquet"):
+            spark.read.parquet(f"{FOLDER}/{path}").repartition(3).write.parquet(f"{folder}/{path}")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", driver.oracle_sql())
+def test_query_on_tables_in_parts(spark, connection, in_parts, name):
+    assert difference(driver.queries()[name](spark, in_parts), connection, driver.oracle_sql()[name]) is None
+
+
 def test_entry(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) == 10 and rows[0].n >= rows[-1].n

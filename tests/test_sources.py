@@ -28,6 +28,51 @@ def test_line_numbers_over_files_and_splits(spark, tmp_path):
     assert got == dict(enumerate(lines))
 
 
+@pytest.mark.parametrize("setting, called, computed", [
+    ("spark.sql.leafNodeDefaultParallelism", "8", "16"), ("spark.sql.files.maxPartitionBytes", "9000", "4000")])
+def test_no_line_is_lost_when_splits_change(spark, tmp_path, setting, called, computed):
+    lines = [f"line {i} {'x' * (i % 50)}" for i in range(5000)]
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get(setting, None)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        spark.conf.set(setting, called)
+        frame = text.number_rows(spark, str(tmp_path))
+        spark.conf.set(setting, computed)
+        got = {r.line: r.value for r in frame.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    assert got == dict(enumerate(lines))
+
+
+def test_hidden_names_are_an_error(spark, tmp_path):
+    (tmp_path / "_old").mkdir()
+    for name in ("a.txt", "_b.txt", ".c.txt", "_old/d.txt", "_note.md"):
+        (tmp_path / name).write_text("word")
+    assert sorted(text.hidden_names(spark, str(tmp_path))) == [".c.txt", "_b.txt", "_old/d.txt"]
+    with pytest.raises(ValueError, match="3 files have names"):
+        text.read_corpus(spark, str(tmp_path))
+    assert text.read_corpus(spark, str(tmp_path), skip_hidden=True).count() == 1
+
+
+def test_csv_files_by_their_own_headers(spark, tmp_path):
+    """Other orders and further columns, with a blank in a file name."""
+    (tmp_path / "one file.csv").write_text('STATION,NAME,DATE,TMIN,TMAX\nA,"X, US",2000-01-01,1.0,2.0\n')
+    (tmp_path / "b.csv").write_text('STATION,DATE,NAME,PRCP,TMAX,TMIN\nB,2000-01-02,Y,9,4.0,3.0\n')
+    got = sorted((r.station, r["name"], str(r.date), r.tmin, r.tmax) for r in tables.read_climate(spark, str(tmp_path)).collect())
+    assert got == [("A", "X, US", "2000-01-01", 1.0, 2.0), ("B", "Y", "2000-01-02", 3.0, 4.0)]
+    points = tmp_path / "points"
+    points.mkdir()
+    (points / "a.csv").write_text("name,easting,northing\nA,1,2\n")
+    (points / "b.csv").write_text("name,northing,easting\nB,4,3\n")
+    assert sorted((r.label, r.vec) for r in tables.read_points(spark, str(points)).collect()) == [("A", [1.0, 2.0]), ("B", [3.0, 4.0])]
+    (points / "c.csv").write_text("name,x,y\nC,5,6\n")
+    with pytest.raises(Exception, match="easting"):
+        tables.read_points(spark, str(points))
+
+
 def test_query_list_and_matrix(spark, tmp_path):
     (tmp_path / "words.txt").write_text("priest\nfork\n\nhorse\n")
     got = {r.qid: r.label for r in text.read_query_list(spark, str(tmp_path / "words.txt")).collect()}
@@ -65,6 +110,19 @@ def test_stored_tables_read_back(spark):
     assert sorted(row.id for row in stored.collect()) == [0, 1, 2]
 
 
+def test_scratch_tables_can_be_removed(spark, tmp_path):
+    other = spark.newSession()
+    stored = materialise(other.range(3), "numbers")
+    path = stored.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].replace("//", "/")
+    import os
+    assert os.path.isdir(path)
+    from millrace import session
+    kept = session._handed_out.pop(spark.sparkContext.applicationId)
+    session._handed_out[spark.sparkContext.applicationId] = kept[-1:]
+    assert session.remove_scratch(spark) == 1 and not os.path.exists(path)
+    session._handed_out[spark.sparkContext.applicationId] = kept[:-1]
+
+
 def test_spread_only_touches_small_scans(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores

@@ -168,3 +168,32 @@ def test_climate_report_without_matching_decades(spark):
     report = climate_report(spark.createDataFrame(decade_rows(), READINGS), 1930, 1940)
     assert tuple(report.difference_summary.first()) == (None,) * 6
     assert report.top_differences.count() == 0
+
+
+def test_a_busy_station_is_combined_before_it_moves(spark, tmp_path):
+    """A third of all rows on one station, broadcasts off: no exchange moves raw rows."""
+    from millrace.plans.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    busy = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey"))
+    orders.withColumn("o_custkey", busy).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.read.parquet(f"{folder}/customer.parquet").write.parquet(str(tmp_path / "customer.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("decade_avg", "decade_diff", "group_slope", "climate_profile"):
+            lines = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString().splitlines()
+            depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+            scans = [at for at, line in enumerate(lines) if "Scan" in line and "o_custkey" in line]
+            assert scans
+            for at in scans:
+                above, seen = depth[at], ""
+                for line, own in zip(lines[at::-1], depth[at::-1]):
+                    if own < above:
+                        above, seen = own, seen + line
+                        if "Exchange" in line:
+                            break
+                assert "partial_" in seen, (name, seen)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
