@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 from millrace.operators.blocks import Best, Queries, to_matrix, unit_rows, with_vectors
 from millrace.operators.neighbours import (
-    BROADCAST_BYTES, FOUND, SLICE_ROWS, SMALLEST_BLOCK, data_rows, dimensions, in_fewer_tasks, query_rows,
-    rows_within, search_cells, small_enough,
+    BROADCAST_BYTES, FOUND, SLICE_BYTES, data_rows, dimensions, in_fewer_tasks, query_rows, rows_within,
+    search_cells, small_enough,
 )
 from millrace.session import materialise, ship_package
 
-BROADCAST_BUCKETS = 1 << 20
+#: Bytes of a bucket's name and two numbers, beside its bits.
+NAME_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ def lsh_index(data: DataFrame, scheme: SignHash) -> DataFrame:
 
 def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int = 3,
                 query_block: int = 1024, max_broadcast_bytes: int = BROADCAST_BYTES,
-                slice_rows: int = SLICE_ROWS) -> DataFrame:
+                slice_rows: int | None = None) -> DataFrame:
     """The k candidates with the largest dot product per query: ``qid, rank, id, score``.
 
     Equal products go to the larger id.  ``k`` may be as large as the whole ranking.
@@ -119,25 +120,26 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     Each task keeps k rows per query; a row that is among the best k of all
     candidates is among the best k of its bucket, so nothing is lost.
 
-    Many queries meet the data bucket by bucket.  A bucket with more rows than
-    ``slice_rows``, or more queries than a block, is cut into cells that different
-    tasks search.
+    Many queries meet the data bucket by bucket, from an index that is stored first, so that the
+    data is hashed once.  A bucket with more rows than ``slice_rows`` (by default as many as fit
+    ``SLICE_BYTES``) is cut into slices that different tasks hold; a row of the index is exchanged
+    once, and the queries of a bucket stream past each of its slices.
     """
     ship_package(index.sparkSession)
-    asked = query_rows(queries)
-    dims = dimensions(index, asked)
+    asked = materialise(query_rows(queries), "queries")
+    dims = dimensions(asked, index)
 
-    def new_best(block: Queries) -> Best:
-        return Best(block, k, "dot", True, query_block)
+    def new_best(block: Queries, most: int) -> Best:
+        return Best(block, most, "dot", True, query_block)
 
-    table = small_enough(asked, max_broadcast_bytes, dims)
+    # A broadcast query brings a name for each table.
+    table = small_enough(asked, max_broadcast_bytes, dims, k, scheme.tables * (scheme.bits + NAME_BYTES))
     if table is not None:
-        found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, new_best)
+        found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, new_best, k)
     else:
-        asked = bucket_names(materialise(asked, "queries"), scheme, dims)
-        ask = one_row_per_table(asked, "qid", "skip", "vec")
-        per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
-        found = _search_buckets(index, ask, scheme, per_block, slice_rows, new_best)
+        ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
+        per_slice = slice_rows or max(1, rows_within(SLICE_BYTES, dims))
+        found = _search_buckets(materialise(index, "index"), ask, scheme, per_slice, new_best, k)
     best_first = Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("id"))
     # A row found through several tables has one score, hence one rank, and the
     # second step needs no exchange of its own.
@@ -147,7 +149,7 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     )
 
 
-def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_best) -> DataFrame:
+def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_best, k: int) -> DataFrame:
     spark = index.sparkSession
     if table.num_rows == 0:
         return spark.createDataFrame([], FOUND)
@@ -165,13 +167,13 @@ def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_be
     }
     shared = spark.sparkContext.broadcast((block, places))
 
-    # The queries have passed the size check, so their buckets are few as well.
+    # The size check counted a name for each query and table, so these fit too.
     wanted = F.broadcast(spark.createDataFrame(groups.select(["tbl", "bucket"])))
     hits = index.join(wanted, ["tbl", "bucket"], "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, places = shared.value
-        best = new_best(block)
+        best = new_best(block, k)
         for batch in map(with_vectors, batches):
             if not batch.num_rows:
                 continue
@@ -188,33 +190,18 @@ def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_be
     return hits.select(cell, "id", "vec").mapInArrow(scan, FOUND)
 
 
-def _search_buckets(index: DataFrame, ask: DataFrame, scheme: SignHash, block: int, slice_rows: int,
-                    new_best) -> DataFrame:
-    def sizes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("tbl", "bucket").agg(F.count(F.lit(1)).alias(name))
+def _search_buckets(index: DataFrame, ask: DataFrame, scheme: SignHash, slice_rows: int, new_best, k: int) -> DataFrame:
+    plan = index.groupBy("tbl", "bucket").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("slices"))
 
-    plan = sizes(index, "rows").join(sizes(ask, "asks"), ["tbl", "bucket"]).select(
-        "tbl", "bucket",
-        F.ceil(F.col("rows") / slice_rows).cast("int").alias("slices"),
-        F.ceil(F.col("asks") / block).cast("int").alias("blocks"),
-    )
-
-    # One row per bucket that occurs: with few bits there cannot be many, and the
-    # vectors then need to be exchanged only once, by cell.
-    if scheme.tables << scheme.bits <= BROADCAST_BUCKETS:
+    # There are at most as many buckets as names, which bounds the plan's bytes.
+    if (scheme.tables << scheme.bits) * (scheme.bits + NAME_BYTES) <= BROADCAST_BYTES:
         plan = F.broadcast(plan)
-
-    def share(key: str, parts: str):
-        return F.pmod(F.xxhash64(key), F.col(parts)).cast("int")
-
-    def every(parts: str):
-        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-
-    cell = F.concat_ws("|", *[F.col(part).cast("string") for part in ("tbl", "bucket", "block", "slice")])
-    data = index.join(plan, ["tbl", "bucket"]).withColumn("slice", share("id", "slices")).withColumn(
-        "block", every("blocks"))
-    query = ask.join(plan, ["tbl", "bucket"]).withColumn("block", share("qid", "blocks")).withColumn(
-        "slice", every("slices"))
+    mates = ask.select("tbl", "bucket").distinct()
+    cell = F.concat_ws("|", *[F.col(part).cast("string") for part in ("tbl", "bucket", "slice")])
+    # Rows without a bucket mate among the queries are dropped before any vector moves on.
+    data = index.join(mates, ["tbl", "bucket"], "left_semi").join(plan, ["tbl", "bucket"]).withColumn(
+        "slice", F.pmod(F.xxhash64("id"), F.col("slices")))
+    query = ask.join(plan, ["tbl", "bucket"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     return search_cells(
         data.select(cell.alias("cell"), "id", "vec"), query.select(cell.alias("cell"), "qid", "skip", "vec"),
-        None, new_best, "dot")
+        None, new_best, "dot", k)

@@ -8,11 +8,11 @@ distance metrics, the (squared, if expanded) distance.
 The pairs are never written out.  Each task keeps the best k rows per query of its
 share of the data, and only those are exchanged.
 
-* Queries that fit a checked number of bytes are broadcast, and the data is read
-  where it lies.
-* More queries than that are cut into blocks, and the data into slices.  Each block
-  meets each slice once, in a cell; cells are spread by hash over the cluster, so a
-  cell's size follows from the block and slice sizes, never from the data's values.
+* Queries are computed once, into a stored table whose size is then known.  If they fit a
+  checked number of bytes they are broadcast, and the data is read where it lies.
+* If not, the data is cut into slices of a bounded number of bytes, spread by hash over the
+  cluster.  A task holds one slice, and the queries stream past it in short blocks.  Each row of
+  data is exchanged once, whatever the number of queries.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ FOUND = "qid bigint, id bigint, score double"
 ROWS_PER_BATCH_OUT = 20_000
 
 BROADCAST_BYTES = 64 << 20
-SMALLEST_BLOCK = 1 << 20
-SLICE_ROWS = 1_000_000
+SLICE_BYTES = 64 << 20
+#: Scores that a task holds at once, best so far of its queries.
+HELD_SCORES = 1 << 22
 FOUND_ROWS = 1_000_000_000
 
 
@@ -59,22 +60,22 @@ def dimensions(*tables: DataFrame) -> int:
     return 0
 
 
-def rows_within(max_bytes: int, dims: int) -> int:
-    """How many vectors fit, with their two ids."""
-    return max_bytes // (8 * dims + 16)
+def rows_within(max_bytes: int, dims: int, more: int = 0) -> int:
+    """How many vectors fit, with their two ids and ``more`` bytes each."""
+    return max_bytes // (8 * dims + 16 + more)
 
 
-def small_enough(df: DataFrame, max_bytes: int, dims: int) -> pa.Table | None:
-    """The rows of ``df`` that have a vector, if all rows fit ``max_bytes``, else None.
+def small_enough(stored: DataFrame, max_bytes: int, dims: int, k: int, more: int = 0) -> pa.Table | None:
+    """The rows of a stored table that have a vector, if all fit, else None.
 
-    Reads at most one row more than would fit, so an oversized input costs the
-    driver no more than a fitting one.
+    They fit if they take at most ``max_bytes``, and k scores for each at most ``HELD_SCORES``.
+    The rows are counted first, which a stored table answers from its files' footers.
     """
-    most = rows_within(max_bytes, dims)
-    if not most:
+    rows = stored.count()
+    if rows > rows_within(max_bytes, dims, more) or rows * k > HELD_SCORES:
         return None
-    table = df.limit(most + 1).toArrow()
-    return table.filter(table.column("vec").is_valid()) if table.num_rows <= most else None
+    table = stored.toArrow()
+    return table.filter(table.column("vec").is_valid())
 
 
 def rank_found(found: DataFrame, k: int) -> DataFrame:
@@ -90,7 +91,8 @@ def in_fewer_tasks(rows: DataFrame, found_per_task: int) -> DataFrame:
     """Let a task read several splits where tasks would send more rows than need be.
 
     Every task sends the best k rows of each query, so the number of tasks times that
-    is exchanged.  No exchange is added, and all cores stay busy.
+    is exchanged: about ``FOUND_ROWS``, but all cores stay busy, which counts more where
+    there are many.  No exchange is added.
     """
     busy = 4 * rows.sparkSession.sparkContext.defaultParallelism
     return rows.coalesce(max(busy, FOUND_ROWS // max(1, found_per_task)))
@@ -121,16 +123,15 @@ def runs(column: pa.Array) -> Iterator[tuple[int, int]]:
         yield start, end - start
 
 
-def scan_cells(new_best: Callable[[Queries], Best], metric: str):
+def scan_cells(new_best: Callable[[Queries, int], Best], metric: str, k: int):
     """Task function over rows ``cell, side, id, skip, vec`` sorted by cell and side.
 
-    In each cell the queries (side 0) come first and are held; the data (side 1)
-    streams past them.
+    In each cell the data (side 0) comes first and is held; the queries (side 1) stream past it,
+    as many at a time as ``HELD_SCORES`` allows.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell: object = None
-        held: list[pa.RecordBatch] = []
-        best: Best | None = None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for start, length in runs(batch.column("cell")):
                 here = with_vectors(batch.slice(start, length))
@@ -138,86 +139,85 @@ def scan_cells(new_best: Callable[[Queries], Best], metric: str):
                     continue
                 name = here.column("cell")[0].as_py()
                 if name != cell:
-                    if best is not None:
-                        yield best.rows()
-                    cell, held, best = name, [], None
-                asked = int(pc.sum(pc.equal(here.column("side"), 0)).as_py() or 0)
-                if asked:
-                    held.append(here.slice(0, asked))
-                rest = here.slice(asked)
-                if not rest.num_rows or not held:
+                    cell, held = name, []
+                data = int(pc.sum(pc.equal(here.column("side"), 0)).as_py() or 0)
+                if data:
+                    part = here.slice(0, data)
+                    held.append((part.column("id").to_numpy(zero_copy_only=False), to_matrix(part.column("vec"))))
+                if data == here.num_rows or not held:
                     continue
-                if best is None:
-                    best = new_best(Queries.from_table(pa.Table.from_batches(held), "id", metric))
-                best.scan(rest.column("id").to_numpy(zero_copy_only=False), to_matrix(rest.column("vec")))
-        if best is not None:
-            yield best.rows()
+                if len(held) > 1:
+                    held = [(np.concatenate([ids for ids, _ in held]), np.concatenate([matrix for _, matrix in held]))]
+                ids, matrix = held[0]
+                step = max(1, HELD_SCORES // min(k, len(ids)))
+                for first in range(data, here.num_rows, step):
+                    asked = pa.Table.from_batches([here.slice(first, step)])
+                    best = new_best(Queries.from_table(asked, "id", metric), min(k, len(ids)))
+                    best.scan(ids, matrix)
+                    yield best.rows()
 
     return lambda batches: regrouped(scan(batches))
 
 
 def search_cells(data: DataFrame, queries: DataFrame, partitions: int | None,
-                 new_best: Callable[[Queries], Best], metric: str) -> DataFrame:
+                 new_best: Callable[[Queries, int], Best], metric: str, k: int) -> DataFrame:
     """Bring the data and the queries of each cell together and search there.
 
     ``data`` has ``cell, id, vec`` and ``queries`` has ``cell, qid, skip, vec``.
     """
-    both = queries.select(
-        "cell", F.lit(0).alias("side"), F.col("qid").alias("id"), "skip",
+    both = data.select(
+        "cell", F.lit(0).alias("side"), "id", F.lit(None).cast("bigint").alias("skip"),
         F.col("vec").cast("array<double>").alias("vec"),
-    ).unionByName(data.select(
-        "cell", F.lit(1).alias("side"), "id", F.lit(None).cast("bigint").alias("skip"),
+    ).unionByName(queries.select(
+        "cell", F.lit(1).alias("side"), F.col("qid").alias("id"), "skip",
         F.col("vec").cast("array<double>").alias("vec"),
     ))
     placed = both.repartition(partitions, "cell") if partitions else both.repartition("cell")
-    return placed.sortWithinPartitions("cell", "side").mapInArrow(scan_cells(new_best, metric), FOUND)
+    return placed.sortWithinPartitions("cell", "side").mapInArrow(scan_cells(new_best, metric, k), FOUND)
 
 
 def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
             query_block: int = 1024, max_broadcast_bytes: int = BROADCAST_BYTES,
-            slice_rows: int = SLICE_ROWS) -> DataFrame:
+            slice_rows: int | None = None) -> DataFrame:
     """The k best rows per query; equal scores go to the smaller id.
 
-    ``query_block`` bounds the score matrix in a task and does not change results.
-    Rows and queries without a vector are left out, and under ``cosine`` so are zero
-    vectors.  Looks at the size of ``queries`` when called: they are computed once, and
-    held if they fit a broadcast, else stored.
+    ``query_block`` bounds the score matrix in a task, ``slice_rows`` the data in one (by
+    default ``SLICE_BYTES``); neither changes results.  Rows and queries without a vector are left
+    out, and under ``cosine`` so are zero vectors.  Runs when called: the queries are computed and
+    stored once.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if k < 1 or query_block < 1:
         raise ValueError("k and query_block must be positive")
     ship_package(data.sparkSession)
-    rows, asked = data_rows(data), query_rows(queries)
+    rows, asked = data_rows(data), materialise(query_rows(queries), "queries")
 
-    def new_best(block: Queries) -> Best:
-        return Best(block, k, metric, False, query_block)
+    def new_best(block: Queries, most: int) -> Best:
+        return Best(block, most, metric, False, query_block)
 
-    dims = dimensions(rows, asked)
-    table = small_enough(asked, max_broadcast_bytes, dims)
+    dims = dimensions(asked, rows)
+    table = small_enough(asked, max_broadcast_bytes, dims, k)
     if table is not None:
-        found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric)
+        found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric, k)
     else:
-        asked = materialise(asked, "queries")
-        per_block = max(1, rows_within(max(max_broadcast_bytes, SMALLEST_BLOCK), dims))
-        blocks = max(1, math.ceil(asked.count() / per_block))
-        slices = max(1, math.ceil(rows.count() / slice_rows))
-        found = search_by_blocks(rows, asked, blocks, slices, new_best, metric)
+        slices = max(1, math.ceil(rows.count() / (slice_rows or max(1, rows_within(SLICE_BYTES, dims)))))
+        found = search_by_slices(rows, asked, slices, new_best, metric, k)
     ranked = rank_found(found, k)
     if metric == "l2":
         return ranked.withColumn("score", F.sqrt(-F.col("score")))
     return ranked.withColumn("score", -F.col("score")) if metric == "l2_expanded" else ranked
 
 
-def _search_in_place(rows: DataFrame, table: pa.Table, new_best: Callable[[Queries], Best],
-                     metric: str) -> DataFrame:
+def _search_in_place(rows: DataFrame, table: pa.Table, new_best: Callable[[Queries, int], Best],
+                     metric: str, k: int) -> DataFrame:
     if table.num_rows == 0:
         return rows.sparkSession.createDataFrame([], FOUND)
     block = Queries.from_table(table, "qid", metric)
     shared = rows.sparkSession.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = new_best(shared.value)
+        best = new_best(shared.value, k)
         for batch in map(with_vectors, batches):
             if batch.num_rows:
                 best.scan(batch.column("id").to_numpy(zero_copy_only=False), to_matrix(batch.column("vec")))
@@ -226,20 +226,9 @@ def _search_in_place(rows: DataFrame, table: pa.Table, new_best: Callable[[Queri
     return rows.mapInArrow(scan, FOUND)
 
 
-def search_by_blocks(rows: DataFrame, asked: DataFrame, blocks: int, slices: int,
-                     new_best: Callable[[Queries], Best], metric: str) -> DataFrame:
-    """Search where the queries are too many to broadcast: blocks against slices."""
-    def share(key: str, parts: int):
-        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-
-    def every(parts: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-
-    def cell():
-        return (F.col("block") * F.lit(slices) + F.col("slice")).cast("bigint").alias("cell")
-
-    data = rows.withColumn("slice", share("id", slices)).withColumn("block", every(blocks))
-    query = asked.withColumn("block", share("qid", blocks)).withColumn("slice", every(slices))
-    return search_cells(
-        data.select(cell(), "id", "vec"), query.select(cell(), "qid", "skip", "vec"),
-        blocks * slices, new_best, metric)
+def search_by_slices(rows: DataFrame, asked: DataFrame, slices: int,
+                     new_best: Callable[[Queries, int], Best], metric: str, k: int) -> DataFrame:
+    """Search where the queries are too many to broadcast: all of them against each slice of data."""
+    data = rows.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(slices)))
+    query = asked.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))))
+    return search_cells(data.select("cell", "id", "vec"), query, slices, new_best, metric, k)

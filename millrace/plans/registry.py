@@ -435,7 +435,7 @@ def vec_nn_l2_expanded(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vec_nn_l2_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """The plan for queries too many to broadcast, with small blocks of 100 queries."""
+    """The plan for queries too many to broadcast, with slices of 200 rows."""
     return _nearest_rows(spark, folder, query_block=100, max_broadcast_bytes=0, slice_rows=200).select(
         "qid", "id", rounded("score").alias("distance"))
 
