@@ -38,4 +38,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLES = {"op2_quality_rules": QUALITY_RULES}
+SUBSTRING_DEDUP = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM texts WHERE len(words) >= 13),
+firsts AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY words[pos:pos + 12]) AS least FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM firsts WHERE least < doc_id),
+spans AS (
+  SELECT doc_id, count(*)::BIGINT AS n_removed, count(*) FILTER (WHERE fresh)::BIGINT AS n_spans
+  FROM (SELECT doc_id, pos, coalesce(pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 1, true) AS fresh FROM gone)
+  GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM places ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+# The length of a formatted turn: its tags, its text, and a backslash for each control string or backslash.
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '</?s>')) + len(regexp_extract_all(text, '\\'))
+            + len(regexp_extract_all(text, '\[/?(INST|SYS|OUT|TURN)[\] ]'))
+            + CASE role WHEN 'user' THEN 18 WHEN 'system' THEN 16 WHEN 'assistant' THEN 20 ELSE 19 + length(role) END AS chars
+  FROM turns),
+whole AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt)::BIGINT AS loss_chars,
+       sha256(learnt) AS loss_sha256, formatted_chars, false AS rewrites
+FROM whole
+"""
+
+ORACLES = {
+    "op2_quality_rules": QUALITY_RULES,
+    "op3_substring_dedup": SUBSTRING_DEDUP,
+    "op9_chat_format": CHAT_FORMAT,
+}

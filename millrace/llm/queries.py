@@ -132,4 +132,6 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    """A row for each contaminated document and item."""
+    found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
