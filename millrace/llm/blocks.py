@@ -92,8 +92,8 @@ def texts_of(sizes: list[int], payload: bytes) -> list[bytes]:
 
 
 def ordered_blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Blocks that hold consecutive ids, and (block, place) with the blocks numbered in the order of ids, nulls first.
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks that hold consecutive ids, nulls first; ``order_key`` of a block's first id gives their order.
 
     Where the files are in order of the id already, each split is sorted by itself; else the rows are
     dealt by ranges of the id first.  Which is the case is read from the id column, and checked once
@@ -121,18 +121,29 @@ def ordered_blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str
             F.array_min("ids").alias("low"), F.array_max("ids").alias("high"), F.exists("ids", lambda k: k.isNull()).alias("nulls"))
         if disjoint(ranges):
             break
-    order = packed.select("block", F.row_number().over(Window.orderBy(F.array_min("ids").asc_nulls_first(), "block")).alias("place"))
-    return packed, order
+    return packed
+
+
+def order_key(key: object) -> str:
+    """A text that sorts as ids do, nulls first."""
+    if key is None:
+        return ""
+    if isinstance(key, int):
+        return f"1{key + (1 << 63):020d}"
+    if isinstance(key, str):
+        return f"1{key}"
+    raise TypeError(f"ids must be whole numbers or texts, not {type(key).__name__}")
 
 
 def exchange(blocks: DataFrame, hashes_of: Callable[[list, list[int], bytes], np.ndarray], total: int,
-             mark: Callable[[np.ndarray], np.ndarray], order: DataFrame | None = None) -> tuple[DataFrame, int]:
+             mark: Callable[[np.ndarray], np.ndarray], by_id: bool = False) -> tuple[DataFrame, int]:
     """Answers (block, part, answer), a code for each of the block's hashes within a range, and the
     bits of a hash that name its range.
 
     ``hashes_of`` gives a block's sorted distinct hashes; ``total`` about how many there are in all.
     ``mark`` gets, for the sorted values of a range, whether each is the first of its equals, and
-    gives a code to each, zero for no news.  Equal values are in the order of ``order`` (block, place), or of blocks.
+    gives a code to each, zero for no news.  Equal values are in the order of the blocks,
+    or ``by_id`` in that of the blocks' first ids.
     """
     parts = 1
     while parts * RANGE_HASHES < total:
@@ -146,16 +157,15 @@ def exchange(blocks: DataFrame, hashes_of: Callable[[list, list[int], bytes], np
                 edges = np.searchsorted(values >> np.uint64(64 - bits) if bits else np.zeros(len(values), dtype=np.uint64), np.arange(parts + 1, dtype=np.uint64))
                 used = [part for part in range(parts) if edges[part] < edges[part + 1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]] * len(used), pa.int64()), pa.array(used, pa.int32()),
+                    [pa.array([row["block"]] * len(used), pa.int64()),
+                     pa.array([order_key(row["ids"][0]) if by_id else ""] * len(used), pa.string()), pa.array(used, pa.int32()),
                      pa.array([pack_run(values[edges[part]:edges[part + 1]]) for part in used], pa.binary())],
-                    ["block", "part", "run"])
+                    ["block", "low", "part", "run"])
 
-    runs = blocks.mapInArrow(send, "block long, part int, run binary")
-    if order is not None:
-        runs = runs.join(order, "block")
+    runs = blocks.mapInArrow(send, "block long, low string, part int, run binary")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("place" if "place" in frame else "block", kind="stable")
+        frame = frame.sort_values(["low", "block"], kind="stable")
         each = [unpack_run(run) for run in frame["run"]]
         values = np.concatenate(each)
         by_value = np.argsort(values, kind="stable")

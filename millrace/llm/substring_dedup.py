@@ -84,7 +84,7 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     whole.  An empty table gives an empty result; further columns are not read.  Equality is that of
     64-bit hashes: among n different windows about n^2 / 2^65 pairs share one by chance.
     """
-    blocks, order = ordered_blocks(docs, id_column, text_column, block_bytes)
+    blocks = ordered_blocks(docs, id_column, text_column, block_bytes)
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
 
@@ -92,7 +92,7 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
         return np.unique(windows_of(texts_of(sizes, payload), window)[2])
 
     # Words are about six bytes long; the answer is yes for all but the first block with a window.
-    answers, bits = exchange(blocks, hashes, total // 6, lambda first: ~first, order)
+    answers, bits = exchange(blocks, hashes, total // 6, lambda first: ~first, by_id=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
