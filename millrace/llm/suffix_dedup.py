@@ -295,9 +295,12 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
                 yield pa.RecordBatch.from_arrays([pa.array([bytes(x).ljust(LEAD, b"\0") for x in leads], pa.binary())], ["lead"])
 
     buckets = max(total // bucket_bytes, 1)
-    sampled = blocks.orderBy(F.xxhash64("block")).limit(SAMPLED_BLOCKS).mapInArrow(lead, "lead binary") if buckets > 1 else None
+    # Blocks are chosen by number first, so that no task reads more of them than these.
+    some = [row[0] for row in blocks.select("block").orderBy(F.xxhash64("block")).limit(SAMPLED_BLOCKS).collect()] if buckets > 1 else []
+    sampled = blocks.filter(F.col("block").isin(some)).mapInArrow(lead, "lead binary") if some else None
     leads = np.sort(np.array([bytes(row[0]) for row in sampled.collect()], dtype=f"S{LEAD}")) if sampled is not None else np.zeros(0, dtype=f"S{LEAD}")
     splitters = np.unique(leads[np.arange(1, buckets) * len(leads) // buckets]) if len(leads) else leads
+    ranges = len(splitters) + 1
 
     # Ranges of hashes have negative numbers, buckets of suffixes the others.
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +310,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
                 found.read(row["answers"], bits)
                 messages = list(_messages(found, splitters))
                 values = np.unique(found.strings()[1])
-                cut = np.searchsorted(values, np.arange(1, buckets, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // buckets))
+                cut = np.searchsorted(values, np.arange(1, ranges, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // ranges))
                 messages += [(-1 - k, pack_run(run)) for k, run in enumerate(np.split(values, cut)) if len(run)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]] * len(messages), pa.int64()), pa.array([part for part, _ in messages], pa.int32()),
@@ -337,7 +340,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
             for row in batch.to_pylist():
-                yield _cut_block(row, match, bits, splitters, buckets, id_type, id_column)
+                yield _cut_block(row, match, bits, splitters, id_type, id_column)
 
     replies = informed.mapInArrow(send, "block long, part int, message binary").groupBy("part").applyInPandas(
         compare, "block long, part int, answer binary")
@@ -346,7 +349,7 @@ def remove_repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_colum
         cut, f"`{id_column}` {kind}, n_bytes long, kept binary, removed array<struct<start:int,end:int>>")
 
 
-def _cut_block(row: dict, match: int, bits: int, splitters: np.ndarray, buckets: int, id_type: pa.DataType, id_column: str) -> pa.RecordBatch:
+def _cut_block(row: dict, match: int, bits: int, splitters: np.ndarray, id_type: pa.DataType, id_column: str) -> pa.RecordBatch:
     texts = texts_of(row["sizes"], row["payload"])
     found = Anchors(texts, match)
     found.read(row["answers"], bits)
