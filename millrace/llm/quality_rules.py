@@ -115,14 +115,14 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def order_rules(counted: DataFrame, rules: Sequence[Rule], rows: int = SAMPLE_ROWS,
+def order_rules(docs: DataFrame, rules: Sequence[Rule], rows: int = SAMPLE_ROWS,
                 share: float = SAMPLE_SHARE, seed: int = SAMPLE_SEED) -> list[Rule]:
     """The rules by rejections per second on a sample of at most ``rows`` documents.
 
     An empty sample leaves the order as given.  The sample is stored with its counts, so
     that a rule's time is its own.
     """
-    sample = materialise(counted.sample(share, seed).limit(rows), "rules")
+    sample = materialise(features(docs.sample(share, seed).limit(rows)), "rules")
 
     def seconds_and_rejected(condition: Column) -> tuple[float, int, int]:
         start = time.perf_counter()
@@ -149,7 +149,7 @@ def quality_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, ordered: boo
     than ``text`` pass through, except those named like an added one, which are replaced.
     """
     counted = features(docs)
-    rules = list(rules) if ordered else order_rules(counted, rules)
+    rules = list(rules) if ordered else order_rules(docs, rules)
     verdict = F.when(base_failed(), F.lit("base"))
     for rule in rules:
         verdict = verdict.when(rule.rejects(), F.lit(rule.name))
