@@ -31,8 +31,8 @@ from millrace.session import materialise, ship_package
 #: Share of trusted documents of a language that are kept.
 QUANTILE = 0.995
 #: Text of a block, in characters.
-BLOCK_CHARACTERS = 4 << 20
-#: Ids of trusted documents are broadcast up to so many bytes, else joined by exchange.
+BLOCK_CHARACTERS = 2 << 20
+#: Ids of trusted documents, and thresholds, are broadcast up to so many bytes, else joined by exchange.
 BROADCAST_BYTES = 64 << 20
 LEAST_DISCOUNT = 0.05
 #: A symbol takes 21 bits, as code points do.  Start of a text, and a word like the one before.
@@ -261,8 +261,10 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUAN
     answers = wanted.join(known, ["lang", "gram"]).select("block", "place", "logp")
     scored = materialise(_scores(blocks, answers, id_column).withColumn(
         "perplexity", F.exp(-F.col("logp") / F.col("n_symbols"))), "scores")
-    thresholds = scored.filter("trusted AND perplexity IS NOT NULL").groupBy("lang").agg(
-        F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
-    return scored.join(thresholds, "lang", "left").select(
+    thresholds = materialise(scored.filter("trusted AND perplexity IS NOT NULL").groupBy("lang").agg(
+        F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "thresholds")
+    # A language may hold most documents: they stay where they are, unless languages are very many.
+    few = thresholds.count() * 64 <= broadcast_bytes
+    return scored.join(F.broadcast(thresholds) if few else thresholds, "lang", "left").select(
         id_column, "lang", "trusted", "n_symbols", "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
