@@ -26,22 +26,29 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date")
 
-#: One alternative per kind; the first that matches at a place is taken, and what is not valid stays.
-PATTERN = re.compile(r"""
-    (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?=[A-Za-z0-9_%+-]))*@
-        (?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))
-  | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-  | (?P<phone>(?<![0-9A-Za-z])(?:
+#: In the order in which they are tried at a place.
+SHAPES = {
+    "email": r"""(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?=[A-Za-z0-9_%+-]))*@
+        (?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9])""",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "phone": r"""(?<![0-9A-Za-z])(?:
         \+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}
       | \+[2-9][0-9]{0,2}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{1,4}(?:[\x20.-][0-9]{2,4}){1,4}
       | \+[2-9][0-9]{7,14}
       | \([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}
-      | (?<![.-])[0-9]{3}(?P<between>[.-])[0-9]{3}(?P=between)[0-9]{4})(?![0-9]))
-  | (?P<ssn>(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9]))
-  | (?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9]))
-  | (?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9]))
-  | (?P<card>(?<![0-9A-Za-z])[0-9]+(?:[\x20-][0-9]+)*(?![0-9A-Za-z]))
-""", re.X)
+      | (?<![.-])[0-9]{3}(?P<between>[.-])[0-9]{3}(?P=between)[0-9]{4})(?![0-9])""",
+    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
+    "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
+    "card": r"(?<![0-9A-Za-z])[0-9]++(?![A-Za-z])(?:[\x20-][0-9]++(?![A-Za-z])){0,18}",
+}
+PATTERNS = {kind: re.compile(shape, re.X) for kind, shape in SHAPES.items()}
+PATTERN = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in SHAPES.items()), re.X)
+#: Kinds of several groups, of which the last ones may belong to what follows.
+PARTED = {"iban": re.compile(" "), "phone": re.compile("[ .-]"), "card": re.compile("[ -]")}
+#: How cards are written; other groupings are taken for one only where nothing else is found in them.
+USUAL = re.compile(r"[0-9]+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+GROUP = re.compile("[0-9A-Za-z]+")
 #: The first word of every match holds a digit or an @, so search starts at the words that do.
 HINT = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
@@ -113,20 +120,8 @@ def _card_number(p: Permutation, digits: str) -> str | None:
 
 
 def _card(p: Permutation, text: str) -> str | None:
-    """Of groups of digits, the longest runs of groups that make a valid number, from the left."""
-    parts = re.split("([ -])", text)
-    out, at, found = [], 0, False
-    while at < len(parts):
-        for end in range(min(len(parts), at + 37), at, -2):
-            part = "".join(parts[at:end])
-            if new := _card_number(p, _digits(part)):
-                part, found = _put(part, new), True
-                break
-        else:
-            end = at + 1
-        out += [part, *parts[end:end + 1]]
-        at = end + 1
-    return "".join(out) if found else None
+    new = _card_number(p, _digits(text))
+    return new and _put(text, new)
 
 
 def _letters_and_digits(p: Permutation, text: str, purpose: str) -> str:
@@ -231,30 +226,77 @@ def kind_of(m: re.Match) -> str:
     return next(kind for kind in KINDS if m[kind] is not None)
 
 
+def _ends(text: str, kind: str, start: int, end: int) -> list[int]:
+    """Where a candidate of the kind may end: the usual ways to write a card first, then the longest."""
+    if kind not in PARTED:
+        return [end]
+    ends = [end, *reversed([m.start() for m in PARTED[kind].finditer(text, start, end)])]
+    if kind != "card":
+        return [at for at in ends if PATTERNS[kind].fullmatch(text, start, at)]
+    ends = [at for at in ends if at - start <= 37]
+    return sorted(ends, key=lambda at: not USUAL.fullmatch(text, start, at))
+
+
+def _cut_through(p: Permutation, text: str, kind: str, start: int, end: int, stop: int) -> bool:
+    """Whether valid data begins at a later group of a candidate and goes on after it.  A card of an
+    unusual grouping also gives way to other kinds that end within it."""
+    unusual = kind == "card" and not USUAL.fullmatch(text, start, end)
+    for separator in PARTED[kind].finditer(text, start, end):
+        m = PATTERN.match(text, separator.end(), stop)
+        for other in list(SHAPES)[list(SHAPES).index(kind_of(m)):] if m else ():
+            found = PATTERNS[other].match(text, separator.end(), stop)
+            if not found or kind == other == "card" and not unusual:
+                continue
+            for at in _ends(text, other, found.start(), found.end()):
+                if other == "card" and not USUAL.fullmatch(text, found.start(), at):
+                    break
+                if (at > end or unusual and other != "card") and MAKERS[other](p, text[found.start():at]) is not None:
+                    return True
+    return False
+
+
+def _replacement(p: Permutation, text: str, m: re.Match, stop: int) -> tuple[str, int, str] | None:
+    """(kind, end, pseudonym) of the first kind that is valid where ``m`` begins."""
+    start, kinds = m.start(), list(SHAPES)
+    for kind in kinds[kinds.index(kind_of(m)):]:
+        found = PATTERNS[kind].match(text, start, stop)
+        for end in _ends(text, kind, start, found.end()) if found else ():
+            new = MAKERS[kind](p, text[start:end])
+            if new is not None and not (kind in PARTED and _cut_through(p, text, kind, start, end, stop)):
+                return kind, end, new
+    return None
+
+
 def pseudonymise(text: str, p: Permutation) -> tuple[str, list[tuple[str, int, int]]]:
-    """The text with pseudonyms, and (kind, start, end) of each in the new text, in code points."""
-    if not HINT.search(text):
-        return text, []
-    out, spans, at, length, begin = [], [], 0, 0, 0
+    """The text with pseudonyms, and (kind, start, end) of each in the new text, in code points.
+
+    Where a candidate is not valid the search goes on after its first group, so that it hides nothing
+    that begins within it.  Of two valid cards that overlap the left one is replaced.
+    """
+    out, spans, at, length, begin, end, stop = [], [], 0, 0, 0, 0, 0
     while hint := HINT.search(text, begin):
         word = hint.start()
-        while word > at and not text[word - 1].isspace():
+        while word > begin and not text[word - 1].isspace():
             word -= 1
-        end = SPACE.search(text, hint.end())
-        end = end.start() if end else len(text)
-        stop = SPACE.search(text, end + REACH)
-        m = PATTERN.search(text, max(word, begin), stop.start() if stop else len(text))
+        if word >= end:
+            blank = SPACE.search(text, hint.end())
+            end = blank.start() if blank else len(text)
+            blank = SPACE.search(text, end + REACH)
+            stop = blank.start() if blank else len(text)
+        m = PATTERN.search(text, word, stop)
         if m is None or m.start() >= end:
             begin = end
             continue
-        begin = m.end()
-        new = MAKERS[kind_of(m)](p, m.group())
-        if new is None:
+        found = _replacement(p, text, m, stop)
+        if found is None:
+            group = GROUP.match(text, m.start())
+            begin = group.end() if group else m.start() + 1
             continue
+        kind, begin, new = found
         length += m.start() - at
-        spans.append((kind_of(m), length, length + len(new)))
+        spans.append((kind, length, length + len(new)))
         out += [text[at:m.start()], new]
-        at, length = m.end(), length + len(new)
+        at, length = begin, length + len(new)
     return "".join([*out, text[at:]]), spans
 
 

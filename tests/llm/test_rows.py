@@ -176,6 +176,30 @@ def test_neighbouring_numbers():
     assert new == f"x {one} {other} 12 y"
 
 
+PRIVATE = [
+    ("email", "jo.doe@mail.example.com"), ("card", "4539148803436467"), ("card", "4539 1488 0343 6467"), ("iban", "AT61 1904 3002 3457 3201"),
+    ("iban", "ES91 2100 0418 4502 0005 1332"), ("iban", "GB82 WEST 1234 5698 7654 32"), ("ssn", "123-45-6789"), ("phone", "555-123-4567"),
+    ("phone", "+44 20 7946 0958"), ("ip", "10.0.0.1"), ("date", "2024-05-06"), ("date", "28.02.2021"),
+]
+
+
+@pytest.mark.parametrize("kind, value", PRIVATE)
+@pytest.mark.parametrize("before, after", [("Room 7", "x"), ("Order 4411", "PAY now"), ("node 12", "BANK 9"), ("AB12 2024", "DUE TODAY")])
+def test_neighbours_hide_nothing(kind, value, before, after):
+    """Numbers before and capital words after a value are no part of it."""
+    alone = pseudonyms.pseudonymise(value, P)[0]
+    new, spans = pseudonyms.pseudonymise(f"{before} {value} {after}", P)
+    assert new == f"{before} {alone} {after}" and [k for k, *_ in spans] == [kind]
+
+
+@pytest.mark.parametrize("kind, value", PRIVATE)
+@pytest.mark.parametrize("other, neighbour", PRIVATE)
+def test_neighbouring_values(kind, value, other, neighbour):
+    new, spans = pseudonyms.pseudonymise(f"x {value} {neighbour} y", P)
+    assert new == f"x {pseudonyms.pseudonymise(value, P)[0]} {pseudonyms.pseudonymise(neighbour, P)[0]} y"
+    assert [k for k, *_ in spans] == [kind, other] and [new[a:b] for _, a, b in spans][0] in new
+
+
 def test_pseudonyms_of_odd_rows(docs):
     table = docs([(1, None), (None, ""), (2, "ip 10.0.0.1"), (3, "10.0.0.1 ip"), (2, "ip 10.0.0.1"), (4, "z" * 300_000)]).withColumnRenamed("lang", "pii")
     rows = pseudonyms.replace_private(table, "key").collect()
