@@ -52,7 +52,8 @@ GROUP = re.compile("[0-9A-Za-z]+")
 #: The first word of every match holds a digit or an @, so search starts at the words that do.
 HINT = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
-#: Longest match beyond its first word, in characters.
+#: More than the longest match beyond its first word, in characters.  A card run of any length is searched from
+#: each of its groups anew, and a card of 19 digits takes 37 characters, so the window bounds work, not finds.
 REACH = 64
 
 

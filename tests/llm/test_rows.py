@@ -200,6 +200,15 @@ def test_neighbouring_values(kind, value, other, neighbour):
     assert [k for k, *_ in spans] == [kind, other] and [new[a:b] for _, a, b in spans][0] in new
 
 
+@pytest.mark.parametrize("n", [4, 5, 50])
+def test_long_rows_of_cards(n):
+    """No window cuts through a number of a long row."""
+    card = "4539 1488 0343 6467"
+    alone = pseudonyms.pseudonymise(card, P)[0]
+    new, spans = pseudonyms.pseudonymise(" ".join([card] * n), P)
+    assert new == " ".join([alone] * n) and len(spans) == n
+
+
 def test_pseudonyms_of_odd_rows(docs):
     table = docs([(1, None), (None, ""), (2, "ip 10.0.0.1"), (3, "10.0.0.1 ip"), (2, "ip 10.0.0.1"), (4, "z" * 300_000)]).withColumnRenamed("lang", "pii")
     rows = pseudonyms.replace_private(table, "key").collect()
