@@ -11,7 +11,9 @@ documents keeps its documents' counts against its own vocabulary, in a written t
   up its documents' log-probabilities.
 
 So neither texts nor rows per character move.  A document is kept if its perplexity is at most the
-quantile of the trusted documents of its language.
+quantile of the trusted documents of its language.  A few words foreign to trusted text, such as insults,
+do not move the perplexity of a long document; its rarity, the perplexity of its rarest trigrams alone,
+shows them, and is judged for itself by the same quantile.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from millrace.session import materialise, ship_package
 
 #: Share of trusted documents of a language that are kept.
 QUANTILE = 0.995
+#: So many of the least probable trigrams of a document make its rarity.
+RAREST = 8
 #: Text of a block, in characters.
 BLOCK_CHARACTERS = 2 << 20
 #: Ids of trusted documents, and thresholds, are broadcast up to so many bytes, else joined by exchange.
@@ -219,24 +223,30 @@ def _scores(blocks: DataFrame, answers: DataFrame, id_column: str) -> DataFrame:
                 if answers[at].is_valid:
                     said = answers[at].values
                     logp[said.field("place").to_numpy()] = said.field("logp").to_numpy()
-                n, total = [], []
+                n, total, rarest = [], [], []
                 for places, counts in zip(*_documents(row)):
                     n.append(int(counts.sum()))
-                    total.append(float((logp[places] * counts).sum()) if n[-1] else np.nan)
+                    own = logp[places]
+                    total.append(float((own * counts).sum()) if n[-1] else np.nan)
+                    least = np.argpartition(own, RAREST)[:RAREST] if len(own) > RAREST else np.arange(len(own))
+                    least = least[np.argsort(own[least], kind="stable")]
+                    rarest.append(float(np.repeat(own[least], np.minimum(counts[least], RAREST))[:RAREST].mean()) if n[-1] else np.nan)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], batch.schema.field("ids").type.value_type), pa.array(row["langs"], pa.string()),
-                     pa.array(row["trusted"], pa.bool_()), pa.array(n, pa.int64()), pa.array(total, pa.float64(), from_pandas=True)],
-                    [id_column, "lang", "trusted", "n_symbols", "logp"])
+                     pa.array(row["trusted"], pa.bool_()), pa.array(n, pa.int64()), pa.array(total, pa.float64(), from_pandas=True),
+                     pa.array(rarest, pa.float64(), from_pandas=True)],
+                    [id_column, "lang", "trusted", "n_symbols", "logp", "rarest"])
 
     held = blocks.select("block", "ids", "langs", "trusted", F.size("vocabulary").alias("vocabulary"), "sizes", "places", "counts")
     return held.join(listed, "block", "left").drop("block").mapInArrow(
-        score, f"`{id_column}` {kind}, lang string, trusted boolean, n_symbols long, logp double")
+        score, f"`{id_column}` {kind}, lang string, trusted boolean, n_symbols long, logp double, rarest double")
 
 
 def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, id_column: str = "doc_id",
                      text_column: str = "text", lang_column: str = "lang",
                      block_characters: int = BLOCK_CHARACTERS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Per row of ``docs``: id, lang, trusted, n_symbols, perplexity, threshold, kept.
+    """Per row of ``docs``: id, lang, trusted, n_symbols, perplexity, threshold, kept, and in the same way
+    rarity, rarity_threshold, clean.  ``kept`` does not depend on ``clean``.
 
     ``trusted`` lists ids (in a column named like ``id_column``) of texts to learn from, all of which
     are used; ids that are not in ``docs`` or null have no effect.  A null text is empty; an empty
@@ -259,12 +269,14 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUAN
     wanted = blocks.select("block", F.posexplode("vocabulary").alias("place", "_word")).select("block", "place", "_word.lang", "_word.gram")
     known = materialise(log_probabilities(wanted.select("lang", "gram").distinct(), model), "logp")
     answers = wanted.join(known, ["lang", "gram"]).select("block", "place", "logp")
-    scored = materialise(_scores(blocks, answers, id_column).withColumn(
-        "perplexity", F.exp(-F.col("logp") / F.col("n_symbols"))), "scores")
+    scored = materialise(_scores(blocks, answers, id_column).withColumns(
+        {"perplexity": F.exp(-F.col("logp") / F.col("n_symbols")), "rarity": F.exp(-F.col("rarest"))}), "scores")
     thresholds = materialise(scored.filter("trusted AND perplexity IS NOT NULL").groupBy("lang").agg(
-        F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "thresholds")
+        F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"),
+        F.percentile_approx("rarity", quantile, 10_000).alias("rarity_threshold")), "thresholds")
     # A language may hold most documents: they stay where they are, unless languages are very many.
     few = thresholds.count() * 64 <= broadcast_bytes
     return scored.join(F.broadcast(thresholds) if few else thresholds, "lang", "left").select(
         id_column, "lang", "trusted", "n_symbols", "perplexity", "threshold",
-        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"), "rarity", "rarity_threshold",
+        F.coalesce(F.col("rarity") <= F.col("rarity_threshold"), F.lit(True)).alias("clean"))

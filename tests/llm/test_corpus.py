@@ -171,6 +171,28 @@ def test_held_out_accuracy(spark, tmp_path):
     assert sum(good) / len(good) > 0.93 and sum(bad) / len(bad) < 0.25
 
 
+def test_rarity(docs):
+    """The perplexity of the rarest trigrams alone, repeated ones counted."""
+    rows = [(i, t) for i, t in enumerate(["abra cadabra", "abba baba ab", "cab bac cabba", "zz zz zz q", "", None, "ab", "abra zuz abba zuz abra"])]
+    table = docs(rows).withColumnRenamed("spans", "perplexity")
+    grams, probability = brute_model([t for i, t in rows if i < 3])
+    for r in kneser_ney.classify_quality(table, table.filter("doc_id < 3").select("doc_id"), block_characters=20).collect():
+        logp = sorted(math.log(probability(g)) for g in grams(rows[r.doc_id][1] or ""))[:kneser_ney.RAREST]
+        assert (r.rarity is None and r.clean) if not logp else math.isclose(r.rarity, math.exp(-sum(logp) / len(logp)), rel_tol=1e-9)
+        assert not logp or r.clean == (r.rarity <= r.rarity_threshold)
+
+
+def test_held_out_toxic(spark):
+    """Labelled good and toxic, told apart from good ones: the mean hardly shows them, the rarest trigrams most."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = kneser_ney.classify_quality(
+        spark.read.parquet(f"{folder}/documents.parquet"), trusted_ids(spark, folder).filter("doc_id % 2 = 0"))
+    rows = judged.join(labels, "doc_id").filter("doc_id % 2 = 1 AND quality = 1").collect()
+    good, toxic = ([r for r in rows if r.toxic == t] for t in (0, 1))
+    assert sum(r.clean for r in good) > 0.95 * len(good) and sum(r.clean for r in toxic) < 0.45 * len(toxic)
+
+
 # Decontamination
 
 def brute_leaks(docs, items, threshold=0.8):
