@@ -2,9 +2,9 @@
 
 A document is contaminated by an item if some window of as many words as the item has a weighted
 Jaccard similarity of at least 0.8 with it: both as multisets of five-word shingles, the sum of the
-smaller multiplicities over that of the greater.
+smaller multiplicities over that of the greater.  A document with fewer words than the item is one window.
 
-1. Such a window shares at least 2tk / (1 + t) of its k shingles with the item.  A bitmap of the
+1. Such a window of m shingles shares at least t(m + k) / (1 + t) of them with the k of the item.  A bitmap of the
    items' shingles, of fixed size, tells how many of a window's shingles any item has; windows with
    fewer cannot pass and are not fingerprinted.  What is left of a document are regions.
 2. Regions are reduced to different contents, so that a passage in a third of all documents is
@@ -46,9 +46,9 @@ def shingles(text: bytes, size: int) -> np.ndarray:
     return rabin_karp(np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)), size)
 
 
-def needed(k: int, similarity: float) -> int:
-    """Shingles that two windows of k must share."""
-    return max(math.ceil(2 * similarity * k / (1 + similarity) - 1e-9), 1)
+def needed(m: int, k: int, similarity: float) -> int:
+    """Shingles that windows of m and k must share."""
+    return max(math.ceil(similarity * (m + k) / (1 + similarity) - 1e-9), 1)
 
 
 def fingerprints_of(hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
@@ -108,23 +108,25 @@ def _known(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return bitmap[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1
 
 
-def _windows(hashes: np.ndarray, ks: list[int], bitmap: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(k, starts) of the windows of k shingles of which enough are known."""
+def _windows(hashes: np.ndarray, whole: bool, ks: list[int], bitmap: np.ndarray, similarity: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(k, m, starts) of the windows of m shingles of which enough are known: m is k, or fewer where the
+    ``whole`` document has fewer."""
     known = _known(hashes, bitmap)
     if not known.any():
         return
     sums = np.concatenate([[0], np.cumsum(known, dtype=np.int64)])
     for k in ks:
-        if k <= len(hashes) and sums[-1] >= needed(k, similarity):
-            starts = np.flatnonzero(sums[k:] - sums[:-k] >= needed(k, similarity))
+        m = min(k, len(hashes)) if whole else k
+        if m <= len(hashes) and sums[-1] >= needed(m, k, similarity):
+            starts = np.flatnonzero(sums[m:] - sums[:-m] >= needed(m, k, similarity))
             if len(starts):
-                yield k, starts
+                yield k, m, starts
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
                        shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The contaminated documents: id, item_id, start (word of the best window), n_words (of the item),
-    similarity, n_windows; one row per id and item.
+    similarity, n_windows; one row per id and item.  A document shorter than the item is compared as a whole.
 
     Items have item_id and text.  Texts are compared by words in lower case (A-Z).  An item
     with fewer words than a shingle is one shingle of all its words; one without words, or with a
@@ -150,27 +152,29 @@ def find_contamination(docs: DataFrame, items: DataFrame, similarity: float = SI
                 for gram in ks if text else ():
                     hashes = shingles(text, gram)
                     change = np.zeros(len(hashes) + 1, dtype=np.int64)
-                    for k, starts in _windows(hashes, ks[gram], bitmap.value, similarity):
-                        change[:-k] += np.bincount(starts, minlength=len(change) - k)
-                        change[k:] -= np.bincount(starts, minlength=len(change) - k)
+                    for _, m, starts in _windows(hashes, True, ks[gram], bitmap.value, similarity):
+                        change[:-m] += np.bincount(starts, minlength=len(change) - m)
+                        change[m:] -= np.bincount(starts, minlength=len(change) - m)
                     edges = np.flatnonzero(np.diff((np.cumsum(change) > 0).astype(np.int8), prepend=0))
                     for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                        own = hashes[begin:end]
-                        rows.append((key, gram, begin, hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() + f"-{gram}", own.view(np.int64)))
-            columns = list(zip(*rows)) if rows else [[]] * 5
+                        own, whole = hashes[begin:end], end - begin == len(hashes)
+                        content = hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() + f"-{gram}" + "-whole" * whole
+                        rows.append((key, gram, begin, content, own.view(np.int64), whole))
+            columns = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()),
-                 pa.array(columns[3], pa.string()), pa.array(columns[4], pa.list_(pa.int64()))], ["id", "gram", "start", "content", "hashes"])
+                 pa.array(columns[3], pa.string()), pa.array(columns[4], pa.list_(pa.int64())),
+                 pa.array(columns[5], pa.bool_())], ["id", "gram", "start", "content", "hashes", "whole"])
 
-    found = materialise(chosen.mapInArrow(regions, f"id {kind}, gram int, start int, content string, hashes array<long>"), "regions")
-    contents = materialise(found.groupBy("content").agg(F.first("gram").alias("gram"), F.first("hashes").alias("hashes")), "contents")
+    found = materialise(chosen.mapInArrow(regions, f"id {kind}, gram int, start int, content string, hashes array<long>, whole boolean"), "regions")
+    contents = materialise(found.groupBy("content").agg(F.first("gram").alias("gram"), F.first("hashes").alias("hashes"), F.first("whole").alias("whole")), "contents")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, gram, hashes in zip(*(column.to_pylist() for column in batch.columns)):
+            for content, gram, hashes, whole in zip(*(column.to_pylist() for column in batch.columns)):
                 hashes = np.array(hashes, dtype=np.int64).view(np.uint64)
-                for k, starts in _windows(hashes, ks[gram], bitmap.value, similarity):
-                    marks = fingerprints_of(hashes, starts, k)
+                for k, m, starts in _windows(hashes, whole, ks[gram], bitmap.value, similarity):
+                    marks = fingerprints_of(hashes, starts, m)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([content] * len(starts)), pa.array(np.full(len(starts), k + gram - 1, dtype=np.int32)),
                          pa.array(starts.astype(np.int32)), pa.array(marks.view(np.int64))], ["content", "n", "at", "mark"])
@@ -187,7 +191,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, similarity: float = SI
     index = prepared.select("_item", "n", F.col("mark").alias("item_mark"), keys("mark").alias("key")).select(
         "_item", "n", "item_mark", "key", F.explode(F.lit(flips)).alias("flip")).select(
         "_item", "n", "item_mark", "key.block", F.col("key.value").bitwiseXOR(F.col("flip").cast("long")).alias("value"))
-    windows = contents.select("content", "gram", "hashes").mapInArrow(mark, "content string, n int, at int, mark long")
+    windows = contents.select("content", "gram", "hashes", "whole").mapInArrow(mark, "content string, n int, at int, mark long")
     probes = windows.select("content", "n", "at", "mark", keys("mark").alias("key")).select("content", "n", "at", "mark", "key.block", "key.value")
     within = F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))) <= radius
     candidates = probes.join(index, ["n", "block", "value"]).filter(within).groupBy("content", "_item").agg(F.collect_set("at").alias("places"))

@@ -245,6 +245,33 @@ def test_leaks(spark, docs):
     assert decontaminate.find_contamination(table, bench.limit(0)).count() == 0
 
 
+def test_leaks_in_documents_shorter_than_the_item(spark, docs):
+    """They are one window: truncated at either end or with words missing, but not inside longer documents."""
+    def whole(body, item):
+        one, other = (Counter(tuple(text.split()[i:i + 5]) for i in range(len(text.split()) - 4)) for text in (body, item))
+        shared = sum((one & other).values())
+        return shared / (one.total() + other.total() - shared)
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(words, k=n))) for i, n in enumerate([33, 33, 40, 25, 60, 9])] + [(9, "again and again and " * 8)]
+    rows = []
+    for key, text in items:
+        own = text.split()
+        for cut in range(1, 14):
+            rows += [(" ".join(own[:-cut])), (" ".join(own[cut:])), (" ".join(own[cut // 2:len(own) - cut // 2])), (" ".join(own[:7] + own[7 + cut:]))]
+    # The same words as part of a longer document are judged by windows of the item's length.
+    short = " ".join(items[0][1].split()[:-5])
+    rows = [(i, text) for i, text in enumerate(rows)] + [(5000, short), (5001, short + " " + " ".join(rng.choices(words, k=20)))]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_contamination(
+        docs(rows), spark.createDataFrame(items, "item_id long, text string"), radius=24).collect()}
+    want = {(doc, key): whole(body, text) for doc, body in rows for key, text in items if len(body.split()) < len(text.split())}
+    want = {k: v for k, v in want.items() if v >= 0.8} | {k: v for k, v in brute_leaks(rows, items).items()}
+    assert got.keys() == want.keys() and all(math.isclose(r.similarity, want[k]) for k, r in got.items())
+    assert len(want) > 50 and (5000, 0) in got and (5001, 0) not in got
+    assert math.isclose(whole(" ".join(items[0][1].split()[:30]), items[0][1]), 26 / 29) and got[8, 0].start == 0 and got[8, 0].n_words == 33
+
+
 def test_leak_query(spark):
     def rows(name, key):
         return [(r[key], r.text) for r in spark.read.parquet(f"{FOLDER}/{name}.parquet").collect()]
