@@ -53,6 +53,16 @@ def test_no_files(spark, tmp_path):
     assert stream_word_count(text_stream(spark, str(tmp_path / "in"))).count() == 0
 
 
+def test_hidden_names_are_an_error(spark, tmp_path):
+    write(tmp_path, 0, FILES)
+    (tmp_path / "_old").mkdir()
+    for name in ("_b.txt", "_old/c.txt"):
+        (tmp_path / name).write_text("red")
+    with pytest.raises(ValueError, match="2 files have names"):
+        text_stream(spark, str(tmp_path))
+    assert as_dict(stream_word_count(text_stream(spark, str(tmp_path), 9, skip_hidden=True))) == want(FILES)
+
+
 def test_batch_size_must_be_positive(spark, tmp_path):
     with pytest.raises(ValueError):
         text_stream(spark, str(tmp_path), 0)
