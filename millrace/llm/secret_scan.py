@@ -2,7 +2,7 @@
 
 Patterns of assignments, access keys and hexadecimal runs are reported as they match.  Runs of
 base64 or hexadecimal digits, armoured blocks and dotted tokens are only candidates: they are
-decoded, and reported where the bytes parse as a key (nested lengths that fill the bytes
+decoded (base64 of an armoured block twice), and reported where the bytes parse as a key (nested lengths that fill the bytes
 exactly) or the first part as the header of a signed token.
 """
 
@@ -37,12 +37,18 @@ ENCODED = tuple(map(re.compile, (
     r"b3(?<![A-Za-z0-9+/_-]b3)[A-Za-z0-9+/_-]{30,}={0,2}",
 )))
 ENCODED_HEX = tuple(map(re.compile, (
-    r"30(?<![0-9A-Za-z]30)(?:[0-9a-f]{30,}|[0-9A-F]{30,})(?![0-9A-Za-z])",
-    r"6[fF](?<![0-9A-Za-z]6.)(?:[0-9a-f]{30,}|[0-9A-F]{30,})(?![0-9A-Za-z])",
+    r"30(?:(?<![0-9A-Za-z]30)|(?<=(?<![0-9A-Za-z])0[xX]30))(?:[0-9a-f]{30,}|[0-9A-F]{30,})(?![0-9A-Za-z])",
+    r"6[fF](?:(?<![0-9A-Za-z]6.)|(?<=(?<![0-9A-Za-z])0[xX]6.))(?:[0-9a-f]{30,}|[0-9A-F]{30,})(?![0-9A-Za-z])",
 )))
 DOTTED = re.compile(r"e(?<![A-Za-z0-9_.-]e)([A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]*)-----END \1-----")
 
+#: An armoured block that is encoded as a whole starts with the digits of "---".
+ENCODED_ARMOUR = re.compile(r"LS0t(?<![A-Za-z0-9+/_-]LS0t)[A-Za-z0-9+/_-]{30,}={0,2}")
+#: Line ends and slashes as JSON, shells and .env files write them.
+ESCAPED = re.compile(r"(?:\\+(?:r|u000[dD]))?\\+(?:n|u000[aA])|\\+(?:[rt]|u000[dD9])")
+ESCAPED_PLAIN = re.compile(r"\\+(?=[/\s])")
+
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,confirmed:boolean>>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("confirmed", pa.bool_())]))
 
@@ -157,11 +163,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def is_armoured_key(body: str) -> bool:
+    """Whether what stands between the lines of armour is a key, with true or escaped line ends."""
+    plain = ESCAPED_PLAIN.sub("", ESCAPED.sub("\n", body))
+    return any(key_kind(decode_base64(part)) for part in dict.fromkeys([plain.rpartition("\n\n")[2], plain]))
+
+
 def structural_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("jwt", *m.span()) for m in DOTTED.finditer(text) if is_signed_token("e" + m.group(1), m.group(2))]
-    for m in ARMOUR.finditer(text):
-        body = decode_base64(m.group(2).rpartition("\n\n")[2])
-        if is_der_key(body) or is_ssh_key(body):
+    found += [("pem", *m.span()) for m in ARMOUR.finditer(text) if is_armoured_key(m.group(2))]
+    for m in ENCODED_ARMOUR.finditer(text):
+        inner = (decode_base64(m.group()) or b"").decode("latin-1")
+        if any(is_armoured_key(block.group(2)) for block in ARMOUR.finditer(inner)):
             found.append(("pem", *m.span()))
     for patterns, decode in ((ENCODED, decode_base64), (ENCODED_HEX, decode_hex)):
         for m in (m for pattern in patterns for m in pattern.finditer(text)):

@@ -108,6 +108,29 @@ def test_structure_confirms(kind, text):
     assert (kind, text) in kinds(f"see {text} there")
 
 
+PEM, PEM_SSH = (f"-----BEGIN {name}-----\n{base64.encodebytes(data).decode()}-----END {name}-----"
+                for name, data in (("RSA PRIVATE KEY", RSA), ("OPENSSH PRIVATE KEY", SSH)))
+
+
+@pytest.mark.parametrize("pem", [PEM, PEM_SSH])
+def test_armour_in_other_clothes(pem):
+    """Escaped line ends, once and twice, escaped slashes, and the block encoded as a whole."""
+    clothes = [pem.replace("\n", end) for end in ("\r\n", "\\n", "\\r\\n", "\\\\n", "\\u000a", "\\\n")]
+    clothes += [json.dumps(pem)[1:-1].replace("/", "\\/"), base64.b64encode(pem.encode()).decode(), b64url((pem + "\n").encode())]
+    for text in clothes:
+        assert ("pem", text) in kinds(f'{{"key": "{text}"}}'), text
+    broken = pem.replace("M", "", 1).replace("b3", "", 1)
+    for text in (broken.replace("\n", "\\n"), base64.b64encode(broken.encode()).decode()):
+        assert not [k for k, _ in kinds(f'"{text}"') if k == "pem"]
+
+
+def test_hexadecimal_with_prefix():
+    for data, kind in ((PKCS8, "der"), (SSH, "ssh")):
+        for text in (data.hex(), data.hex().upper()):
+            assert (kind, text) in kinds(f"key=0x{text};") and (kind, text) in kinds(f"0X{text}")
+            assert kind not in {k for k, _ in kinds(f"10x{text}")}
+
+
 @pytest.mark.parametrize("text", [
     JWT.replace("ey", "aa", 1), ".".join([b64url(b'{"typ":"x"}'), *JWT.split(".")[1:]]), base64.b64encode(RSA[:-1]).decode(),
     base64.b64encode(RSA + b"x").decode(), base64.b64encode(SSH[:-3]).decode(), "M" + "A" * 60,
