@@ -76,8 +76,45 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt)::BIGINT AS
 FROM whole
 """
 
+# CRC-32 of the decimal digits, bit by bit: a byte is added, then eight steps (marked 256) follow.
+CHECKSUM = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split({id}::VARCHAR, ''), lambda c: list_prepend(ascii(c)::BIGINT, list_transform(range(8), lambda k: 256::BIGINT))))),
+    lambda a, x: CASE WHEN x < 256 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+
+PERIODIC_RUNS = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, """ + CHECKSUM.format(id="doc_id") + r""" AS h
+  FROM documents),
+planned AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts),
+repeated AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n),
+    lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] END) END AS words
+  FROM planned),
+places AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(words) AS word FROM repeated),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS p FROM places x JOIN places y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT doc_id, p, min(i) AS start, count(*) + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM pairs) GROUP BY doc_id, p, island),
+runs AS (
+  SELECT doc_id, start, length, min(p) AS period FROM islands WHERE length >= greatest(6, 4 * p) GROUP BY doc_id, start, length),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS place FROM runs),
+listed AS (
+  SELECT doc_id, count(*)::BIGINT AS n_runs, max(start) FILTER (WHERE place = 1) AS start, max(length) FILTER (WHERE place = 1) AS length,
+         max(period) FILTER (WHERE place = 1) AS period,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM ranked GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_periodic_runs": PERIODIC_RUNS,
 }

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, kneser_ney, mixing, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
+from millrace.llm import chat, decontaminate, kneser_ney, mixing, periodic_runs, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
+from millrace.llm.common import let, split_words, whole_text
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +136,31 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each contaminated document and item."""
     found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.withColumn("contaminated", F.lit(True))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Documents whose id's checksum ends in 0 repeat some of their words from some place on, as the contract of op11 says."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"), checksum.alias("_h"))
+
+    def repeat(words, n):
+        g = F.floor(F.col("_h") / 10)
+        at = g % n
+        period = F.floor((n - at) / (g % 8 + 3)) + 1
+        place = lambda i: F.when(i < at, i).otherwise(at + (i - at) % period)
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i).cast("int"))), " ")
+
+    changed = let(split_words(whole_text()), lambda words: F.when(F.size(words) > 0, repeat(words, F.size(words).cast("long"))).otherwise(F.lit("")))
+    return chosen.select("doc_id", F.when(F.col("_h") % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(with_repeats(table(spark, folder, "documents")))
+    largest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = found.withColumn("_best", largest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"),
+        (-F.col("_best.period")).alias("period"), F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
