@@ -112,9 +112,37 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
 FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations),
+original AS (SELECT conv_id, list(said ORDER BY place) AS seq FROM turns GROUP BY conv_id),
+wanted AS (
+  SELECT conv_id, seq, """ + CHECKSUM.format(id="conv_id") + r""" % 9 AS h, conv_id - ((conv_id % 5) + 5) % 5 AS first FROM original),
+rebuilt AS (
+  SELECT w.conv_id, list_concat(coalesce(o.seq[1:h], []), w.seq[h + 1:]) AS seq
+  FROM wanted w LEFT JOIN original o ON o.conv_id = w.first),
+prefixes AS (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT seq[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(seq) = depth), '') AS ends
+  FROM prefixes GROUP BY ALL),
+families AS (
+  SELECT n.path, n.depth, n.conv_id, n.n_convs, n.ends, count(c.path) AS n_children,
+         (n.n_convs - 1) * coalesce(strlen(n.path[-1].text), 0) AS saved
+  FROM nodes n LEFT JOIN nodes c ON c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path GROUP BY ALL),
+above AS (SELECT path[1:k] AS path, saved, n_children FROM (SELECT *, unnest(range(depth + 1)) AS k FROM families)),
+sums AS (
+  SELECT path, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (WHERE n_children = 0))::BIGINT AS n_leaves FROM above GROUP BY path)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, sha256(f.ends) AS ends_sha256
+FROM families f JOIN sums s ON s.path = f.path LEFT JOIN nodes p ON f.depth > 0 AND p.path = f.path[1:f.depth - 1]
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op9_chat_format": CHAT_FORMAT,
     "op11_periodic_runs": PERIODIC_RUNS,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

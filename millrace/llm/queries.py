@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, kneser_ney, mixing, periodic_runs, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup
+from millrace.llm import chat, decontaminate, kneser_ney, mixing, periodic_runs, prefix_trie, pseudonyms, quality_rules, secret_scan, simhash, substring_dedup, suffix_dedup, token_files
 from millrace.llm.common import let, split_words, whole_text
-from millrace.session import ship_package
+from millrace.session import materialise, scratch_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +165,32 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"),
         (-F.col("_best.period")).alias("period"), F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+def public_tokenizer(name: str) -> str:
+    """The definition of a public tokenizer; tasks get its text, not its path."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+@query
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Written to a fresh shared folder and read back."""
+    home = scratch_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, folder, "documents"), home, public_tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_files.read_tokens(spark, home).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Each conversation rebuilt on the first turns of the first of its five, as the contract says."""
+    turns = materialise(prefix_trie.turn_codes(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")), "turns")
+    borrowed = F.when(F.col("conv_id") == prefix_trie.NO_ID, 0).otherwise(F.crc32(F.col("conv_id").cast("string")) % 9)
+    first = F.when(F.col("conv_id") == prefix_trie.NO_ID, F.col("conv_id")).otherwise(F.col("conv_id") - F.pmod("conv_id", F.lit(5)))
+    ids = turns.select("conv_id").distinct()
+    heads = turns.filter("place < 8").select(F.col("conv_id").alias("_first"), "place", "code", "size")
+    wanted = ids.select("conv_id", borrowed.alias("_h"), first.alias("_first"))
+    lent = wanted.join(heads, "_first").filter("place < _h").select("conv_id", "place", "code", "size")
+    own = turns.filter(F.col("place") >= borrowed)
+    return prefix_trie.trie_of(prefix_trie.sequences(ids, lent, own))
