@@ -7,37 +7,21 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import strip_blanks
 from millrace.session import materialise
-
-
-def hidden_names(spark: SparkSession, path: str, suffix: str = ".txt") -> list[str]:
-    """Files below a folder that Spark's sources pass over: they, or a folder on the way, begin
-    with a dot or an underscore.  Lists the tree once, as a read of it does."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(root) or system.getFileStatus(root).isFile():
-        return []
-    top, found, files = system.getFileStatus(root).getPath().toString().rstrip("/"), [], system.listFiles(root, True)
-    while files.hasNext():
-        below = files.next().getPath().toString()[len(top) + 1:]
-        if below.endswith(suffix) and any(part[0] in "._" for part in below.split("/")):
-            found.append(below)
-    return found
+from millrace.sources.hidden import hidden_files, read_hidden
 
 
 def read_corpus(spark: SparkSession, path: str, whole_files: bool = False, skip_hidden: bool = False) -> DataFrame:
-    """All ``.txt`` files below a folder: ``path, text``.
+    """All ``.txt`` files below a folder, or below the folders that a glob names: ``path, text``.
 
-    One row per line, so that a large file is shared among tasks; counts per file
-    group by ``path``.  With ``whole_files`` one row per file.  Spark cannot read names
-    that begin with a dot or an underscore; if there are any, this is an error, unless
-    ``skip_hidden`` says that they are to be left out.
+    One row per line, so that a large file is shared among tasks; counts per file group by ``path``.
+    With ``whole_files`` one row per file.  Files whose names, or whose folders' names, begin with a dot or
+    an underscore are read as well, unless ``skip_hidden`` says that they are to be left out.
     """
-    if not skip_hidden and (hidden := hidden_names(spark, path)):
-        raise ValueError(f"{len(hidden)} files have names that Spark does not read, rename them or pass skip_hidden: {hidden[:5]}")
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
-    lines = reader.text(path, wholetext=whole_files)
-    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    lines = reader.text(path, wholetext=whole_files).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    if not skip_hidden and (hidden := hidden_files(spark, path)):
+        lines = lines.unionByName(read_hidden(spark, hidden, whole_files))
+    return lines
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

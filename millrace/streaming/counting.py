@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from millrace.operators.counting import merge_counts, word_count
 from millrace.session import scratch_dir, spread
-from millrace.sources.text import hidden_names
+from millrace.sources.hidden import hidden_files
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1, skip_hidden: bool = False) -> DataFrame:
     """Lines of the ``.txt`` files of a folder tree, a number of files at a time.
 
-    Names that Spark does not read are an error, as in ``read_corpus``, if there are any when this is called;
-    the stream passes over those that come later.
+    A stream passes over names that begin with a dot or an underscore.  If there are any when this is
+    called, this is an error, unless ``skip_hidden`` says that they are to be left out.
     """
     if files_per_batch < 1:
         raise ValueError("files_per_batch must be positive")
-    if not skip_hidden and (hidden := hidden_names(spark, path)):
-        raise ValueError(f"{len(hidden)} files have names that Spark does not read, rename them or pass skip_hidden: {hidden[:5]}")
+    if not skip_hidden and (hidden := hidden_files(spark, path)):
+        raise ValueError(f"{len(hidden)} files have names that a stream does not read, rename them or pass skip_hidden: {hidden[:5]}")
     reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
     return reader.option("maxFilesPerTrigger", files_per_batch).text(path).withColumnRenamed("value", "text")
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import time
+from urllib.parse import unquote
+
 import pytest
 
 from millrace.session import materialise, scratch_dir, spread
-from millrace.sources import tables, text
+from millrace.sources import hidden, tables, text
 
 
 def test_word_vectors_keep_odd_words_and_line_numbers(spark, tmp_path):
@@ -47,14 +50,63 @@ def test_no_line_is_lost_when_splits_change(spark, tmp_path, setting, called, co
     assert got == dict(enumerate(lines))
 
 
-def test_hidden_names_are_an_error(spark, tmp_path):
-    (tmp_path / "_old").mkdir()
-    for name in ("a.txt", "_b.txt", ".c.txt", "_old/d.txt", "_note.md"):
-        (tmp_path / name).write_text("word")
-    assert sorted(text.hidden_names(spark, str(tmp_path))) == [".c.txt", "_b.txt", "_old/d.txt"]
-    with pytest.raises(ValueError, match="3 files have names"):
-        text.read_corpus(spark, str(tmp_path))
-    assert text.read_corpus(spark, str(tmp_path), skip_hidden=True).count() == 1
+HIDDEN = ("_b.txt", ".c.txt", "_old/d.txt", "_old/sub/_e [1].txt", "a/.f é.txt", "a/{x}/_g*.txt", "a/.h/i.txt")
+
+
+@pytest.fixture
+def tree(tmp_path):
+    """Files with plain and hidden names, each with its own path as text, and some that are no text."""
+    for name in ("top.txt", "a/b.txt", "a/{x}/c.txt", *HIDDEN, "_note.md", "a/_note.md", "_x.txt.d/plain.md", "_empty.txt/none.md"):
+        file = tmp_path / "tree" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(f"{name}\nsecond")
+    return tmp_path / "tree"
+
+
+def below(tree, rows):
+    return sorted((unquote(r.path).removeprefix(f"file:{tree}/"), r.text) for r in rows)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_hidden_names_are_read(spark, tree, whole):
+    names = ["top.txt", "a/b.txt", "a/{x}/c.txt", *HIDDEN]
+    want = sorted((name, text) for name in names for text in ([f"{name}\nsecond"] if whole else [name, "second"]))
+    assert below(tree, text.read_corpus(spark, str(tree), whole).collect()) == want
+    assert [name.removeprefix(f"file:{tree}/") for name in hidden.hidden_files(spark, f"{tree}/")] == sorted(HIDDEN)
+    skipped = text.read_corpus(spark, str(tree), whole, skip_hidden=True).collect()
+    assert {name for name, _ in below(tree, skipped)} == {"top.txt", "a/b.txt", "a/{x}/c.txt"}
+
+
+@pytest.mark.parametrize("glob, names", [
+    ("*", {"top.txt", "a/b.txt", "a/{x}/c.txt", *HIDDEN}), ("*/*", {"a/b.txt", "a/{x}/c.txt", *HIDDEN[2:]}),
+    ("a", {"a/b.txt", "a/{x}/c.txt", *HIDDEN[4:]}), ("_old", {"_old/d.txt", "_old/sub/_e [1].txt"}), ("{_old,a}/*.txt", {"_old/d.txt", "a/b.txt", "a/.f é.txt"})])
+def test_globs_lose_and_repeat_nothing(spark, tree, glob, names):
+    got = below(tree, text.read_corpus(spark, f"{tree}/{glob}").collect())
+    assert got == sorted((name, line) for name in names for line in (name, "second"))
+
+
+def test_many_files_cost_no_call_each(spark, tmp_path):
+    for folder in range(40):
+        (tmp_path / f"f{folder}" / "_in").mkdir(parents=True)
+        for i in range(50):
+            (tmp_path / f"f{folder}" / f"{i}.txt").write_text("x")
+            (tmp_path / f"f{folder}" / "_in" / f"{i}.txt").write_text("y")
+    begin = time.perf_counter()
+    found = hidden.hidden_files(spark, str(tmp_path))
+    assert len(found) == 2000 and time.perf_counter() - begin < 5
+    rows = text.read_corpus(spark, str(tmp_path)).groupBy("text").count().collect()
+    assert sorted(map(tuple, rows)) == [("x", 2000), ("y", 2000)]
+
+
+def test_a_large_hidden_file_is_split(spark, tmp_path):
+    (tmp_path / "_large.txt").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        lines = text.read_corpus(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 3 and lines.select("text").distinct().count() == lines.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_csv_files_by_their_own_headers(spark, tmp_path):
