@@ -4,6 +4,7 @@ import time
 from urllib.parse import unquote
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.session import materialise, scratch_dir, spread
 from millrace.sources import hidden, tables, text
@@ -122,7 +123,54 @@ def test_csv_files_by_their_own_headers(spark, tmp_path):
     assert sorted((r.label, r.vec) for r in tables.read_points(spark, str(points)).collect()) == [("A", [1.0, 2.0]), ("B", [3.0, 4.0])]
     (points / "c.csv").write_text("name,x,y\nC,5,6\n")
     with pytest.raises(Exception, match="easting"):
-        tables.read_points(spark, str(points))
+        tables.read_points(spark, str(points)).collect()
+
+
+def test_csv_files_with_odd_names_and_lines(spark, tmp_path):
+    names = ["a[1].csv", "b*.csv", "{c}.csv", "d?é.csv", "x/e.csv"]
+    (tmp_path / "x").mkdir()
+    want = []
+    for i, name in enumerate(names):
+        order = ["name", "easting", "northing", f"more{i}"][i % 3:] + ["name", "easting", "northing", f"more{i}"][:i % 3]
+        value = {"name": f'"A ""q"", {i}"', "easting": str(i), "northing": "2.5", f"more{i}": '"x, y"'}
+        short = {"name": f"B{i}", "easting": "7", "northing": "8", f"more{i}": ""}
+        body = [order, [value[c] for c in order], [short[c] for c in order]]
+        (tmp_path / name).write_text(("\ufeff" if i == 2 else "") + "\n\n".join(",".join(line) for line in body) + "\r\n" * (i == 1))
+        want += [(f'A "q", {i}', [float(i), 2.5]), (f"B{i}", [7.0, 8.0])]
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "only.csv").write_text("easting,name,northing\n")
+    for root in (f"{tmp_path}/*", f"{tmp_path}/*.csv"):
+        rows = want if root.endswith("*") else want[:-2]
+        assert sorted((r.label, r.vec) for r in tables.read_points(spark, root).collect()) == sorted(rows)
+
+
+def test_absent_and_empty_fields_are_null(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('STATION,NAME,DATE,TMIN,TMAX\nA,N,2000-01-01,"",\nB,N,2000-01-02\nC,N,2000-01-03,1,2,3,4\n')
+    got = [(r.station, r.tmin, r.tmax) for r in tables.read_climate(spark, str(tmp_path)).orderBy("station").collect()]
+    assert got == [("A", None, None), ("B", None, None), ("C", 1.0, 2.0)]
+    kinds = dict(tables.read_climate(spark, str(tmp_path), infer=True).dtypes)
+    assert kinds == {"station": "string", "name": "string", "date": "date", "tmin": "int", "tmax": "int"}
+
+
+def test_large_files_are_read_once_and_their_first_block_twice(spark, tmp_path):
+    """Splits beyond the first take their file's header, which one buffer of the file gives."""
+    for i in range(3):
+        order = ["northing", "more", "easting", "name"] if i % 2 else ["name", "easting", "northing"]
+        lines = [",".join({"name": f'"n, {i} {k}"', "easting": str(k), "northing": str(i), "more": "-"}[c] for c in order) for k in range(60_000)]
+        (tmp_path / f"p{i}.csv").write_text("\n".join([",".join(order), *lines]))
+    before = {name: spark.conf.get(f"spark.sql.files.{name}") for name in ("maxPartitionBytes", "openCostInBytes")}
+    for name, size in (("maxPartitionBytes", "200k"), ("openCostInBytes", "1k")):
+        spark.conf.set(f"spark.sql.files.{name}", size)
+    try:
+        assert len(tables._first_lines(spark, str(tmp_path))) == 3
+        points = tables.read_points(spark, str(tmp_path))
+        assert points.rdd.getNumPartitions() > 10
+        got = points.select("label", F.col("vec")[0].alias("e"), F.col("vec")[1].alias("n"))
+        assert got.filter("label = concat('n, ', cast(n as int), ' ', cast(e as int))").count() == got.distinct().count() == 180_000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "200k"
+    finally:
+        for name, size in before.items():
+            spark.conf.set(f"spark.sql.files.{name}", size)
 
 
 def test_query_list_and_matrix(spark, tmp_path):
