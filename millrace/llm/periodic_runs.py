@@ -201,7 +201,7 @@ def collapse_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).tolist()
             for begin, end in slices(sizes, slice_bytes):
                 yield judge(batch.column(0).slice(begin, end - begin), texts.slice(begin, end - begin))
 

@@ -24,6 +24,8 @@ import json
 import os
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,9 @@ HEADER = struct.Struct(">8sIIQQQQ")
 BLOCK = struct.Struct("<IBH")
 #: What could match white space in a pattern, but for classes that begin with its negation.
 MAY_BE_BLANK = re.compile(r"[. \t\n]|\[\^|\\[snrtvfWDPhHRXNQpb](?!\{[LN]\})")
+#: Fixed value: the pattern of public tokenizers that take runs of letters, single digits and runs of signs for pieces.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 #: Ids a block, the share of them that the width must hold, and ids a file if no document is longer.
 BLOCK_IDS, PERCENTILE, FILE_IDS = 1024, 0.98, 8 << 20
 #: Bytes of text encoded in one go, and words whose ids a worker remembers.
@@ -172,6 +177,21 @@ def parts_at_blanks(model: dict) -> bool:
     return known and drops and strict and not model.get("post_processor") and not model.get("truncation")
 
 
+def letters_apart(model: dict) -> bool:
+    """Whether a tokenizer that parts at blanks takes a run of ASCII letters, a digit, and a run of other
+    ASCII characters without an apostrophe for one piece each, and leaves their characters as they are."""
+    steps = (model.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return len(steps) == 2 and steps[0].get("pattern") == {"Regex": LETTER_RUNS} and steps[1]["type"] == "ByteLevel" \
+        and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+
+
+def _bytes(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
 class Encoder:
     """A tokenizer that remembers words, where words are all that counts.  What it remembers never changes a result."""
 
@@ -184,13 +204,31 @@ class Encoder:
         self.by_words = parts_at_blanks(model)
         steps = (model.get("normalizer") or {}).get("normalizers", [model.get("normalizer") or {}])
         self.lower = any(step.get("type") == "Lowercase" for step in steps)
-        self.special = {token["content"][0] for token in model["added_tokens"]}
+        self.pieces = self.lower and self.by_words and letters_apart(model)
+        # Special tokens are looked for before anything else, so words that may hold one are not touched.
+        self.special = re.compile("[" + re.escape("".join({token["content"][0] for token in model["added_tokens"]}) or "\0") + "]")
         self.known: dict[str, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     def _batch(self, texts: list[str]) -> list[bytes]:
-        return [np.array(found.ids, dtype="<u4").tobytes() for at in range(0, len(texts), 1024)
+        return [_bytes(found.ids) for at in range(0, len(texts), 1024)
                 for found in self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)]
 
+    def _learn(self, words: list[str]) -> None:
+        """Add new words, in lower case if they are ASCII; pieces of plain letters go to the model as they are."""
+        if self.pieces:
+            parted = {word: ASCII_PIECE.findall(word) for word in words if word.isascii() and "'" not in word and word.isprintable() and not self.special.search(word)}
+            new = {piece for pieces in parted.values() for piece in pieces if piece not in self.known_pieces}
+            letters = [piece for piece in new if piece.isalpha()]
+            tokenize = self.tokenizer.model.tokenize
+            for piece in letters:
+                self.known_pieces[piece] = _bytes([token.id for token in tokenize(piece)])
+            rest = [piece for piece in new if not piece.isalpha()]
+            self.known_pieces.update(zip(rest, self._batch(rest)))
+            self.known.update((word, b"".join([self.known_pieces[piece] for piece in pieces])) for word, pieces in parted.items())
+            words = [word for word in words if word not in parted]
+        self.known.update(zip(words, self._batch(words)))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of each."""
         if not self.by_words:
@@ -198,13 +236,14 @@ class Encoder:
             return np.frombuffer(b"".join(each), dtype="<u4"), np.array([len(ids) // 4 for ids in each], dtype=np.int64)
         words, firsts = split_texts(texts)
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        if self.lower:  # upper case of ASCII is one letter for one; special tokens are looked for before
-            different = [word.lower() if word.isascii() and not self.special & set(word) else word for word in different]
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.lower:  # upper case of ASCII is one letter for one
+            special = self.special.search
+            different = [word.lower() if word.isascii() and not special(word) else word for word in different]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list({word: None for word in different if word not in self.known})
-        self.known.update(zip(new, self._batch(new)))
+            self.known_pieces.clear()
+        self._learn(list({word: None for word in different if word not in self.known}))
         each = [self.known[word] for word in different]
         flat = np.frombuffer(b"".join(each), dtype="<u4")
         lengths = np.array([len(ids) // 4 for ids in each], dtype=np.int64)
@@ -228,82 +267,58 @@ def encoder(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode_documents(docs: DataFrame, definition: str, end_id: int | None, id_column: str = "doc_id", text_column: str = "text",
-                     slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Per row: id, n_tokens, and ids as little-endian numbers of 16 bits, or of 32 if the vocabulary needs them."""
-    chosen = narrow(docs, id_column, text_column)
-    width = id_width(definition, end_id)
-    kind = chosen.schema[id_column].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(definition)
-        for batch in batches:
-            texts = batch.column(1)
-            for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), slice_bytes):
-                ids, counts = tool.encode(texts.slice(begin, end - begin))
-                if end_id is not None:
-                    ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
-                data, ends = ids.astype(f"<u{width}").tobytes(), width * np.cumsum(counts)
-                packed = [data[a:b] for a, b in zip((ends - width * counts).tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
-                    [id_column, "n_tokens", "ids"])
-
-    return chosen.mapInArrow(work, f"`{id_column}` {kind}, n_tokens long, ids binary")
-
-
-def id_width(definition: str, end_id: int | None) -> int:
-    model = json.loads(definition)
-    vocabulary = model["model"]["vocab"]
-    listed = vocabulary.values() if isinstance(vocabulary, dict) else range(len(vocabulary))
-    return 2 if max([*listed, *(token["id"] for token in model["added_tokens"]), end_id or 0]) < 1 << 16 else 4
-
-
 # The operator
 
 def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int | None = None, id_column: str = "doc_id", text_column: str = "text",
-                 block_ids: int = BLOCK_IDS, percentile: float = PERCENTILE, file_ids: int = FILE_IDS) -> None:
+                 block_ids: int = BLOCK_IDS, percentile: float = PERCENTILE, file_ids: int = FILE_IDS,
+                 slice_bytes: int = SLICE_BYTES) -> None:
     """Encode all documents and write them below ``path``: ``data``, the files, and ``index``, a Parquet
     table (part, number, n_docs, n_ids, first_id) with a row a file.
 
     ``definition`` is the tokenizer's JSON text.  ``end_id``, if any, follows each document.  Documents go by
-    id, null first, equal ids by a hash of their ids; rows that are equal in both are alike.  A null or empty
+    id, null first, equal ids by a hash of their texts; rows that are equal in both are alike.  A null or empty
     text has no ids but the end.  An empty table gives no file and an empty index; further columns are
     not read.  A document lies in one file, whatever its length (up to 500 million ids).
 
-    Texts are encoded where they are read, and the ids stored; only ids are exchanged.  The ranges are cut
-    by id, hash and row, so that a third of all rows under one id, or with one text, is shared among tasks.
+    Texts are dealt by ranges and encoded where their files are written, so that they cross the network once and
+    nothing is stored on the way.  The ranges are cut by id, hash and row: a third of all rows under one
+    id, or with one text, is shared among tasks.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    width = id_width(definition, end_id)
-    encoded = materialise(encode_documents(docs, definition, end_id, id_column, text_column), "token-ids")
-    order = [F.col(f"`{id_column}`"), F.col("_tie"), F.col("_row")]
-    dealt = encoded.withColumns({"_tie": F.xxhash64("ids"), "_row": F.monotonically_increasing_id()}).repartitionByRange(*order)
+    order = [F.col("_id"), F.col("_tie"), F.col("_row")]
+    chosen = narrow(docs, id_column, text_column).toDF("_id", "_text")
+    dealt = chosen.withColumns({"_tie": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()}).repartitionByRange(*order)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        tool, part, number = encoder(definition), TaskContext.get().partitionId(), 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def file() -> pa.RecordBatch:
-            listed = pa.Table.from_batches([batch.select([0, 1]) for batch in held]).combine_chunks().rename_columns(["id", "n_tokens"])
-            ids = np.frombuffer(b"".join(value.as_buffer() for batch in held for value in batch.column(2)), dtype=f"<u{width}")
-            made = make_file(part, number, ids.astype(np.uint32), listed.to_batches()[0], block_ids, percentile)
+            listed = pa.record_batch([pa.concat_arrays([keys for keys, _, _ in held]), pa.array(np.concatenate([counts for _, counts, _ in held]), pa.int64())], ["id", "n_tokens"])
+            made = make_file(part, number, np.concatenate([ids for _, _, ids in held]), listed, block_ids, percentile)
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["value"])
 
+        size = 0
         for batch in batches:
-            for begin, end in slices(batch.column(1).to_pylist(), file_ids):
-                piece = batch.slice(begin, end - begin)
-                ids = pc.sum(piece.column(1)).as_py()
-                if held and size + ids > file_ids:
-                    yield file()
-                    number, held, size = number + 1, [], 0
-                held.append(piece)
-                size += ids
+            texts = batch.column(1)
+            for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).tolist(), slice_bytes):
+                ids, counts = tool.encode(texts.slice(begin, end - begin))
+                if end_id is not None:
+                    ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+                ids, ends, keys = ids.astype(np.uint32), np.cumsum(counts), batch.column(0).slice(begin, end - begin)
+                for low, high in slices(counts.tolist(), file_ids):
+                    stretch = ids[ends[low] - counts[low]:ends[high - 1]]
+                    if held and size + len(stretch) > file_ids:
+                        yield file()
+                        number, held, size = number + 1, [], 0
+                    held.append((keys.slice(low, high - low), counts[low:high], stretch))
+                    size += len(stretch)
         if held:
             yield file()
 
+    files = dealt.sortWithinPartitions(*order).select("_id", "_text").mapInArrow(pack, "value binary")
     # One row is one file: Spark's text sink writes its bytes and a line feed, wherever the path is.
-    files = dealt.sortWithinPartitions(*order).select(f"`{id_column}`", "n_tokens", "ids").mapInArrow(pack, "value binary")
     files.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "none").text(f"{path}/data")
     write_index(spark, path)
 
