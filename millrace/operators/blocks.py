@@ -101,6 +101,8 @@ class Best:
         self.high_id_first, self.query_block = high_id_first, query_block
         self.scores = np.full((len(queries), k), -np.inf)
         self.ids = np.full((len(queries), k), NO_ID, dtype=np.int64)
+        #: Scores below this are not wanted.
+        self.floor = np.full(len(queries), -np.inf)
 
     def scan(self, ids: np.ndarray, matrix: np.ndarray, only: np.ndarray | None = None) -> None:
         """Offer rows to all queries, or to the queries at the positions in ``only``."""
@@ -120,7 +122,7 @@ class Best:
         rough, margin = self._rough_scores(matrix, asked)
         rough[~(rough > -np.inf)] = -np.inf
         rough[ids[:, None] == self.queries.skip[places][None, :]] = -np.inf
-        bar = self.scores[places, -1]
+        bar = np.maximum(self.scores[places, -1], self.floor[places])
         if len(ids) > self.k:
             bar = np.maximum(bar, np.partition(rough, -self.k, axis=0)[-self.k])
         row, col = np.nonzero((rough >= bar - margin) & (rough > -np.inf))

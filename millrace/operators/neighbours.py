@@ -10,14 +10,12 @@ share of the data, and only those are exchanged.
 
 * Queries are computed once, into a stored table whose size is then known.  If they fit a
   checked number of bytes they are broadcast, and the data is read where it lies.
-* If not, the data is cut into slices of a bounded number of bytes, spread by hash over the
-  cluster.  A task holds one slice, and the queries stream past it in short blocks.  Each row of
-  data is exchanged once, whatever the number of queries.
+* If not, both sides are stored by pivots, queries meet only data that bounds cannot rule out, and
+  no query is copied (``pivots``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.blocks import METRICS, Best, Queries, to_matrix, with_vectors
+from millrace.operators.pivots import pivot_search
 from millrace.session import materialise, ship_package
 
 FOUND = "qid bigint, id bigint, score double"
@@ -181,8 +180,8 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
             slice_rows: int | None = None) -> DataFrame:
     """The k best rows per query; equal scores go to the smaller id.
 
-    ``query_block`` bounds the score matrix in a task, ``slice_rows`` the data in one (by
-    default ``SLICE_BYTES``); neither changes results.  Rows and queries without a vector are left
+    ``query_block`` bounds the score matrix in a task, ``slice_rows`` the data that many queries meet at
+    once; neither changes results.  Rows and queries without a vector are left
     out, and under ``cosine`` so are zero vectors.  Runs when called: the queries are computed and
     stored once.
     """
@@ -201,8 +200,7 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
     if table is not None:
         found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric, k)
     else:
-        slices = max(1, math.ceil(rows.count() / (slice_rows or max(1, rows_within(SLICE_BYTES, dims)))))
-        found = search_by_slices(rows, asked, slices, new_best, metric, k)
+        found = pivot_search(rows, asked, rows.count(), dims, slice_rows, new_best, metric, k).found()
     ranked = rank_found(found, k)
     if metric == "l2":
         return ranked.withColumn("score", F.sqrt(-F.col("score")))
@@ -224,11 +222,3 @@ def _search_in_place(rows: DataFrame, table: pa.Table, new_best: Callable[[Queri
         yield best.rows()
 
     return rows.mapInArrow(scan, FOUND)
-
-
-def search_by_slices(rows: DataFrame, asked: DataFrame, slices: int,
-                     new_best: Callable[[Queries, int], Best], metric: str, k: int) -> DataFrame:
-    """Search where the queries are too many to broadcast: all of them against each slice of data."""
-    data = rows.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(slices)))
-    query = asked.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))))
-    return search_cells(data.select("cell", "id", "vec"), query, slices, new_best, metric, k)

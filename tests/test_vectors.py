@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as vec
-from millrace.operators.blocks import to_matrix
+from millrace.operators.blocks import Best, to_matrix
 from millrace.operators.lsh import SignHash, lsh_index, lsh_nearest, sign_bits
 from millrace.operators.neighbours import nearest
+from millrace.operators.pivots import pivot_search
 from millrace.plans import reports
+from millrace.session import materialise
 
 PLANS = {"in place": {}, "cells": {"max_broadcast_bytes": 0, "slice_rows": 50}}
 
@@ -201,3 +203,55 @@ def test_wrong_answers_are_counted_and_listed(spark):
     found = nearest(vectors, asked)
     assert tuple(reports.count_wrong(found, vectors, expected).first()) == (2, 1)
     assert [tuple(r) for r in reports.wrong_answers(found, vectors, expected).collect()] == [(1, "NA", "dog")]
+
+
+def clustered(spark, rows, queries, centres=30, dims=12, seed=3):
+    """Vectors in tight clusters, and queries near other clusters' members."""
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dims)) * 20
+    data = middle[rng.integers(centres, size=rows)] + rng.normal(size=(rows, dims))
+    data[: rows // 3] = data[0]  # a third is one vector
+    asked = middle[rng.integers(centres, size=queries)] + rng.normal(size=(queries, dims))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "id bigint, vec array<double>")
+    ask = spark.createDataFrame([(i, row.tolist(), i) for i, row in enumerate(asked)], "qid bigint, vec array<double>, skip bigint")
+    return data, asked, frame, ask
+
+
+@pytest.mark.parametrize("metric", ["l2", "l2_expanded", "cosine", "dot"])
+@pytest.mark.parametrize("slice_rows", [7, 400])
+def test_pivots_lose_nothing_and_skip_most(spark, metric, slice_rows):
+    """More than a hundred slices; every query's best rows are those of a full comparison."""
+    data, asked, frame, ask = clustered(spark, 1500, 200)
+    got = {}
+    for r in nearest(frame, ask, 3, metric, max_broadcast_bytes=0, slice_rows=slice_rows).collect():
+        got.setdefault(r.qid, {})[r["rank"]] = r.id
+    a, b = (m / np.linalg.norm(m, axis=1, keepdims=True) if metric == "cosine" else m for m in (data, asked))
+    for q in range(len(b)):
+        scores = (a * b[q]).sum(axis=1) if metric in ("dot", "cosine") else -((a - b[q]) ** 2).sum(axis=1)
+        order = [i for i in np.lexsort((np.arange(len(a)), -np.round(scores, 9))) if i != q][:3]
+        assert [got[q][rank] for rank in (1, 2, 3)] == order
+    stored = materialise(ask.select("qid", "skip", "vec"), "asked")
+    search = pivot_search(frame, stored, len(data), 12, slice_rows, lambda block, most: Best(block, most, metric, False, 64), metric, 3)
+    share = search.skipped().first()
+    assert share.pairs == len(data) * len(asked) and share.met < share.pairs
+    if metric != "dot" and slice_rows == 7:
+        assert len(search.sizes) > 100 and share.share > 0.5
+    assert "CartesianProduct" in plan_of(search.found()) or "BroadcastNestedLoopJoin" in plan_of(search.found())
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().toString()
+
+
+def test_queries_are_not_copied_through_an_exchange(spark):
+    """After the tables are stored, only what is found is exchanged."""
+    _, _, frame, ask = clustered(spark, 600, 100)
+    search = pivot_search(frame, materialise(ask, "asked"), 600, 12, 5, lambda block, most: Best(block, most, "l2", False, 64), "l2", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(search.found())
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+        assert len(search.sizes) >= 100 and search.found().select("qid").distinct().count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
