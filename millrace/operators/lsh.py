@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.blocks import Best, Queries, to_matrix, unit_rows, with_vectors
@@ -101,11 +101,7 @@ def one_row_per_table(named: DataFrame, *keep: str) -> DataFrame:
 
 
 def lsh_index(data: DataFrame, scheme: SignHash) -> DataFrame:
-    """``tbl, bucket, id, vec``: each row once per table.
-
-    Store it, sorted or bucketed by ``tbl, bucket``, to hash the data only once for
-    many searches.
-    """
+    """``tbl, bucket, id, vec``: each row once per table, hashed when it is read."""
     rows = data_rows(data)
     return one_row_per_table(bucket_names(rows, scheme, dimensions(rows)), "id", "vec")
 
@@ -120,26 +116,30 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     Each task keeps k rows per query; a row that is among the best k of all
     candidates is among the best k of its bucket, so nothing is lost.
 
-    Many queries meet the data bucket by bucket, from an index that is stored first, so that the
-    data is hashed once.  A bucket with more rows than ``slice_rows`` (by default as many as fit
-    ``SLICE_BYTES``) is cut into slices that different tasks hold; a row of the index is exchanged
-    once, and the queries of a bucket stream past each of its slices.
+    Many queries meet the data bucket by bucket.  For that the names of the buckets are stored, and the vectors beside
+    them once, so an id names one row.  A bucket with more rows than ``slice_rows`` (by default as many as fit
+    ``SLICE_BYTES``) is cut into slices that different tasks hold, and its queries stream past each of them.
+    An index for many searches is ``lsh_store.StoredIndex``.
     """
     ship_package(index.sparkSession)
     asked = materialise(query_rows(queries), "queries")
     dims = dimensions(asked, index)
-
-    def new_best(block: Queries, most: int) -> Best:
-        return Best(block, most, "dot", True, query_block)
-
-    # A broadcast query brings a name for each table.
-    table = small_enough(asked, max_broadcast_bytes, dims, k, scheme.tables * (scheme.bits + NAME_BYTES))
+    table = small_queries(asked, max_broadcast_bytes, dims, k, scheme)
     if table is not None:
-        found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, new_best, k)
+        found = _search_in_place(in_fewer_tasks(index, table.num_rows * k), table, scheme, query_block, k)
     else:
-        ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
-        per_slice = slice_rows or max(1, rows_within(SLICE_BYTES, dims))
-        found = _search_buckets(materialise(index, "index"), ask, scheme, per_slice, new_best, k)
+        entries = materialise(index.select("tbl", "bucket", "id"), "entries")
+        vectors = materialise(index.filter("tbl = 0").select("id", "vec"), "vectors")
+        found = search_buckets(entries, vectors, asked, scheme, dims, slice_rows, query_block, k)
+    return ranked(found, k)
+
+
+def small_queries(asked: DataFrame, max_bytes: int, dims: int, k: int, scheme: SignHash) -> pa.Table | None:
+    """The stored queries if they, with a name for each table, are few enough to broadcast."""
+    return small_enough(asked, max_bytes, dims, k, scheme.tables * (scheme.bits + NAME_BYTES))
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
     best_first = Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("id"))
     # A row found through several tables has one score, hence one rank, and the
     # second step needs no exchange of its own.
@@ -149,10 +149,8 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
     )
 
 
-def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_best, k: int) -> DataFrame:
-    spark = index.sparkSession
-    if table.num_rows == 0:
-        return spark.createDataFrame([], FOUND)
+def by_bucket(table: pa.Table, scheme: SignHash) -> tuple[Queries, pa.Table]:
+    """The queries, and for each (tbl, bucket) of theirs the list of their places."""
     block = Queries.from_table(table, "qid", "dot")
     bits = sides(block.matrix, scheme.draw_planes(block.matrix.shape[1]))
     asked = pa.table({
@@ -160,38 +158,58 @@ def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, new_be
         "tbl": np.tile(np.arange(scheme.tables, dtype=np.int32), len(block)),
         "bucket": names(bits, scheme.draw_picks()),
     })
-    groups = asked.group_by(["tbl", "bucket"]).aggregate([("place", "list")])
+    return block, asked.group_by(["tbl", "bucket"]).aggregate([("place", "list")])
+
+
+def cell_name() -> Column:
+    return F.concat_ws("|", F.col("tbl").cast("string"), "bucket")
+
+
+def scan_buckets(hits: DataFrame, block: Queries, groups: pa.Table, query_block: int, k: int) -> DataFrame:
+    """The best k of ``hits`` (cells, id, vec) for the queries of each row's cells."""
     places = {
         f"{number}|{name}": np.array(members)
         for number, name, members in zip(*(groups.column(c).to_pylist() for c in ("tbl", "bucket", "place_list")))
     }
-    shared = spark.sparkContext.broadcast((block, places))
-
-    # The size check counted a name for each query and table, so these fit too.
-    wanted = F.broadcast(spark.createDataFrame(groups.select(["tbl", "bucket"])))
-    hits = index.join(wanted, ["tbl", "bucket"], "left_semi")
+    shared = hits.sparkSession.sparkContext.broadcast((block, places))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, places = shared.value
-        best = new_best(block, k)
+        best = Best(block, k, "dot", True, query_block)
         for batch in map(with_vectors, batches):
             if not batch.num_rows:
                 continue
             ids, matrix = batch.column("id").to_numpy(zero_copy_only=False), to_matrix(batch.column("vec"))
-            cells = batch.column("cell").dictionary_encode()
+            lists = batch.column("cells")
+            rows = pc.list_parent_indices(lists).to_numpy()
+            cells = lists.flatten().dictionary_encode()
             codes = cells.indices.to_numpy(zero_copy_only=False)
             by_cell = np.argsort(codes, kind="stable")
             cuts = np.searchsorted(codes[by_cell], np.arange(1, len(cells.dictionary)))
-            for cell, rows in zip(cells.dictionary.to_pylist(), np.split(by_cell, cuts)):
-                best.scan(ids[rows], matrix[rows], places[cell])
+            for cell, members in zip(cells.dictionary.to_pylist(), np.split(rows[by_cell], cuts)):
+                best.scan(ids[members], matrix[members], places[cell])
         yield best.rows()
 
-    cell = F.concat_ws("|", F.col("tbl").cast("string"), "bucket").alias("cell")
-    return hits.select(cell, "id", "vec").mapInArrow(scan, FOUND)
+    return hits.select("cells", "id", "vec").mapInArrow(scan, FOUND)
+
+
+def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, query_block: int, k: int) -> DataFrame:
+    spark = index.sparkSession
+    if table.num_rows == 0:
+        return spark.createDataFrame([], FOUND)
+    block, groups = by_bucket(table, scheme)
+    # The size check counted a name for each query and table, so these fit too.
+    wanted = F.broadcast(spark.createDataFrame(groups.select(["tbl", "bucket"])))
+    hits = index.join(wanted, ["tbl", "bucket"], "left_semi")
+    return scan_buckets(hits.select(F.array(cell_name()).alias("cells"), "id", "vec"), block, groups, query_block, k)
 
 
-def _search_buckets(index: DataFrame, ask: DataFrame, scheme: SignHash, slice_rows: int, new_best, k: int) -> DataFrame:
-    plan = index.groupBy("tbl", "bucket").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("slices"))
+def search_buckets(entries: DataFrame, vectors: DataFrame, asked: DataFrame, scheme: SignHash, dims: int, slice_rows: int | None,
+                   query_block: int, k: int) -> DataFrame:
+    """Bring rows and queries of each bucket together, from ``entries`` (tbl, bucket, id) and ``vectors`` (id, vec)."""
+    per_slice = slice_rows or max(1, rows_within(SLICE_BYTES, dims))
+    ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
+    plan = entries.groupBy("tbl", "bucket").agg(F.ceil(F.count(F.lit(1)) / per_slice).cast("int").alias("slices"))
 
     # There are at most as many buckets as names, which bounds the plan's bytes.
     if (scheme.tables << scheme.bits) * (scheme.bits + NAME_BYTES) <= BROADCAST_BYTES:
@@ -199,9 +217,14 @@ def _search_buckets(index: DataFrame, ask: DataFrame, scheme: SignHash, slice_ro
     mates = ask.select("tbl", "bucket").distinct()
     cell = F.concat_ws("|", *[F.col(part).cast("string") for part in ("tbl", "bucket", "slice")])
     # Rows without a bucket mate among the queries are dropped before any vector moves on.
-    data = index.join(mates, ["tbl", "bucket"], "left_semi").join(plan, ["tbl", "bucket"]).withColumn(
+    near = entries.join(mates, ["tbl", "bucket"], "left_semi").join(plan, ["tbl", "bucket"]).withColumn(
         "slice", F.pmod(F.xxhash64("id"), F.col("slices")))
+    data = vectors.join(near.select(cell.alias("cell"), "id"), "id")
     query = ask.join(plan, ["tbl", "bucket"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+
+    def new_best(block: Queries, most: int) -> Best:
+        return Best(block, most, "dot", True, query_block)
+
     return search_cells(
-        data.select(cell.alias("cell"), "id", "vec"), query.select(cell.alias("cell"), "qid", "skip", "vec"),
+        data.select("cell", "id", "vec"), query.select(cell.alias("cell"), "qid", "skip", "vec"),
         None, new_best, "dot", k)

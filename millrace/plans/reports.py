@@ -11,6 +11,7 @@ from millrace.functions.text import words
 from millrace.functions.vectors import normalise
 from millrace.operators import counting, trends
 from millrace.operators.lsh import SignHash, lsh_index, lsh_nearest
+from millrace.operators.lsh_store import StoredIndex
 from millrace.operators.neighbours import nearest
 from millrace.operators.sketches import hll_estimate, hll_registers
 from millrace.session import materialise
@@ -87,12 +88,14 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 3, **sear
     return with_labels(found, vectors)
 
 
-def lsh_neighbours(vectors: DataFrame, queries: DataFrame, scheme: SignHash, k: int = 3,
+def lsh_neighbours(vectors: DataFrame, queries: DataFrame, scheme: SignHash, k: int = 3, index: StoredIndex | None = None,
                    **search) -> DataFrame:
-    """The same among the candidates of sign-projection hashing."""
-    index = lsh_index(normalise(vectors), scheme)
-    found = lsh_nearest(index, normalise(look_up(queries, vectors)), scheme, k, **search)
-    return with_labels(found, vectors)
+    """The same among the candidates of sign-projection hashing; with ``index``, a stored index of the
+    vectors at length one, nothing but the queries is hashed."""
+    asked = normalise(look_up(queries, vectors))
+    if index is not None:
+        return with_labels(index.nearest(asked, k, **search), vectors)
+    return with_labels(lsh_nearest(lsh_index(normalise(vectors), scheme), asked, scheme, k, **search), vectors)
 
 
 def wrong_answers(found: DataFrame, vectors: DataFrame, expected: DataFrame) -> DataFrame:
