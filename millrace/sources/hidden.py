@@ -20,6 +20,20 @@ PLAIN = "plain-"
 HIDDEN = "{_,.}*"
 
 
+def _statuses(spark: SparkSession, pattern: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+
+
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob stands for, hidden ones too, in one call and one answer."""
+    found, jvm = _statuses(spark, pattern), spark.sparkContext._jvm
+    if not len(found):
+        return []
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
+    return jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(paths).mkString("\0").split("\0")
+
+
 def hidden_files(spark: SparkSession, path: str, suffix: str = ".txt") -> list[str]:
     """Files below ``path``, which may be a glob, that a read of it would pass over, in order.
 
@@ -27,19 +41,13 @@ def hidden_files(spark: SparkSession, path: str, suffix: str = ".txt") -> list[s
     it, and that of a file which the glob names.  As for a read, the driver's JVM sees all names, level by
     level; only hidden ones come to Python.
     """
-    context = spark.sparkContext
-    jvm, root = context._jvm, path.rstrip("/") or "/"
-    files = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(context._jsc.hadoopConfiguration())
+    root = path.rstrip("/") or "/"
 
     def statuses(pattern: str):
-        return files.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []
+        return _statuses(spark, pattern)
 
     def names(pattern: str) -> list[str]:
-        found = statuses(pattern)
-        if not len(found):
-            return []
-        paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
-        return jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(paths).mkString("\0").split("\0")
+        return glob_names(spark, pattern)
 
     # Of the roots only files count; a folder with a hidden name is a root like any other.
     own = [status for status in statuses(root) if status.getPath().getName()[0] in "._"] if re.search(r"[{}\[\]*?\\]", root) else []
