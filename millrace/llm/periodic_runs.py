@@ -8,7 +8,8 @@ with a period of at most t / 4 are left out of the minimum, else every position
 chosen at every scale; the regions of such strings are runs of smaller periods, which the scales below
 have found.  Of any t places that do not all lie in such a region one is chosen, hence every run of four
 periods or more holds a pair: with S empty on [s, s + q], s to s + q + 2t would have a period of at most
-t / 4 and the period q, so q would not be the smallest.  Hashes only propose, words decide: results are exact.
+t / 4 and the period q, so q would not be the smallest.  Words decide how far a period holds, so no run is made up;
+two contexts of one text with equal 64-bit hashes could hide one, a chance of n^2 / 2^65 in a text of n words.
 """
 
 from __future__ import annotations
