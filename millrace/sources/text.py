@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,3 +84,77 @@ def read_query_matrix(spark: SparkSession, path: str) -> DataFrame:
     numbered = number_rows(spark, path, strip_blanks(F.col("value")) != "", "qid")
     numbers = F.split(strip_blanks(F.col("value")), " +")
     return numbered.select("qid", _floats(numbers).alias("vec"))
+
+
+def read_links(spark: SparkSession, path: str, separator: str = " ") -> DataFrame:
+    """Files of ``user: id id ...`` lines as a links table: ``user, followed``, and a row with null for each line.
+
+    Records are what stands between separators and not lines, so a line of any length is shared among
+    tasks and never held.  What a split has before its first line end belongs to the user that the last
+    split with a line's beginning ends with.  A line begins with its name, which has no separator in it; blank lines are left out, and a
+    line without a colon is an error.  Runs when called: the links are stored with their split, as splits may be
+    cut otherwise later.
+    """
+    records = spark.read.option("lineSep", separator).text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, user, head = None, None, None
+
+        def ends() -> pa.RecordBatch:
+            """A split's last user, null if no line begins in it, a line feed if one has ended."""
+            if head is not None and head.strip():
+                raise ValueError(f"a line without a colon, or a name with a separator: {head[:80]!r}")
+            return rows(["\n" if head is not None else user], [None], True)
+
+        def rows(users: list, followed: list, last: bool) -> pa.RecordBatch:
+            n = len(users)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([int(at[0])] * n, pa.int64()), pa.array([int(at[1])] * n, pa.int64()), pa.array(users, pa.string()),
+                 pa.array(followed, pa.string()), pa.array([last] * n, pa.bool_())], ["file", "start", "user", "followed", "last"])
+
+        for batch in batches:
+            file, start = (batch.column(i).to_numpy() for i in (0, 1))
+            cuts = [0, *(np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                text = separator.join(batch.column(2).slice(begin, end - begin).to_pylist())
+                if (file[begin], start[begin]) != at:
+                    if at is not None:
+                        yield ends()
+                    # The first split of a file begins with a line, the others within one, as far as is known.
+                    at, user, head = (file[begin], start[begin]), None, "" if start[begin] == 0 else None
+                elif head:
+                    text = head + separator + text
+                users, followed = [], []
+                for place, piece in enumerate(re.split("\r\n|\r|\n", text)):
+                    if place:
+                        if head is not None and head.strip():
+                            raise ValueError(f"a line without a colon: {head[:80]!r}")
+                        head = ""
+                    if head is not None:
+                        name, colon, rest = piece.partition(":")
+                        if not colon:
+                            head = piece
+                            continue
+                        user, head, piece = name, None, rest
+                        users.append(user)
+                        followed.append(None)
+                    ids = piece.split()
+                    users += [user] * len(ids)
+                    followed += ids
+                if users:
+                    yield rows(users, followed, False)
+        if at is not None:
+            yield ends()
+
+    found = materialise(records.mapInArrow(work, "file long, start long, user string, followed string, last boolean"), "links")
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # A row a split.
+    carried = found.filter("last").select("file", "start", F.last("user", ignorenulls=True).over(before).alias("carried"))
+    links = found.filter("NOT last")
+    known = links.filter("user IS NOT NULL").select("user", "followed")
+    rest = links.filter("user IS NULL").join(carried, ["file", "start"])
+    lost = F.raise_error(F.lit("a split begins before the colon of a line")).cast("string")
+    return known.unionByName(rest.select(F.when(F.col("carried") != "\n", F.col("carried")).otherwise(lost).alias("user"), "followed"))
