@@ -28,22 +28,40 @@ def hll_registers(keys: DataFrame, key: str, registers: int, seed: int = 0) -> D
     return updates.groupBy("j").agg(F.max("r").alias("r"))
 
 
+def hll_sketches(keys: DataFrame, key: str, by: str, registers: int, seed: int = 0) -> DataFrame:
+    """Registers per group, such as a day or a language: ``by, j, r``.
+
+    Store it, and append the sketches of later days: rows of the same group and register may repeat,
+    ``merge_sketches`` brings them together.  The keys are not needed again.  Rows without a group are
+    a group of their own.
+    """
+    updates = register_updates(keys.select(by, key), key, registers, seed)
+    return updates.groupBy(by, "j").agg(F.max("r").alias("r"))
+
+
+def merge_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Sketches rolled up to the groups ``by``, or to one: the highest rank of each register."""
+    return sketches.groupBy(*by, "j").agg(F.max("r").alias("r"))
+
+
 def bias_correction(registers: int) -> float:
     # The published bias corrections of HyperLogLog.
     small = {16: 0.673, 32: 0.697, 64: 0.709}
     return small.get(registers, 0.7213 / (1 + 1.079 / registers))
 
 
-def hll_estimate(reached: DataFrame, registers: int) -> DataFrame:
-    """Distinct keys estimated from ``j, r``: one row ``estimate``.
+def hll_estimate(reached: DataFrame, registers: int, *by: str) -> DataFrame:
+    """Distinct keys estimated from ``j, r``: one row ``estimate``, or one for each group ``by``.
 
     Registers that are absent, or hold 0, count as empty.
     """
     register_bits(registers)
     m, space = float(registers), float(1 << 32)
-    used = reached.filter(F.col("r") > 0).agg(
-        F.count(F.lit(1)).alias("filled"),
-        F.coalesce(F.sum(F.pow(F.lit(2.0), -F.col("r"))), F.lit(0.0)).alias("harmonic"),
+    # A group of empty registers is a group.
+    rank = F.when(F.col("r") > 0, F.col("r"))
+    used = (reached.groupBy(*by) if by else reached).agg(
+        F.count(rank).alias("filled"),
+        F.coalesce(F.sum(F.pow(F.lit(2.0), -rank)), F.lit(0.0)).alias("harmonic"),
     )
     empty = F.lit(m) - F.col("filled")
     raw = F.lit(bias_correction(registers) * m * m) / (F.col("harmonic") + empty)
@@ -54,7 +72,7 @@ def hll_estimate(reached: DataFrame, registers: int) -> DataFrame:
         .when(F.col("raw") > space / 30, many)
         .otherwise(F.col("raw"))
     )
-    return used.select(raw.alias("raw"), empty.alias("empty")).select(chosen.alias("estimate"))
+    return used.select(*by, raw.alias("raw"), empty.alias("empty")).select(*by, chosen.alias("estimate"))
 
 
 def builtin_distinct(keys: DataFrame, key: str, relative_error: float = 0.02) -> DataFrame:

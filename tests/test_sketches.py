@@ -145,3 +145,20 @@ def test_quality_of_huge_buckets_does_not_overflow(spark):
     row = sketches.hash_quality(histogram).first()
     assert int(row["collisions"]) == 10**13 * (10**13 - 1)
     assert row["probability"] == pytest.approx(0.5)
+
+
+def test_stored_sketches_roll_up_to_the_whole(spark, tmp_path):
+    """Per day, appended day by day with a day twice, and rolled up without the keys."""
+    keys = spark.range(6000).selectExpr("concat('k', id % 2500) AS word", "concat('d', id % 7) AS day", "id")
+    for part in (0, 1, 1):
+        sketches.hll_sketches(keys.filter(F.col("id") % 2 == part), "word", "day", 256, 5).write.mode("append").parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    whole = sketches.hll_registers(keys, "word", 256, 5)
+    rolled = sketches.merge_sketches(stored)
+    assert sorted(map(tuple, rolled.collect())) == sorted(map(tuple, whole.collect()))
+    assert sketches.hll_estimate(rolled, 256).first() == sketches.hll_estimate(whole, 256).first()
+    days = {r.day: r.estimate for r in sketches.hll_estimate(sketches.merge_sketches(stored, "day"), 256, "day").collect()}
+    for day in days:
+        alone = sketches.hll_registers(keys.filter(F.col("day") == day), "word", 256, 5)
+        assert days[day] == sketches.hll_estimate(alone, 256).first().estimate
+    assert len(days) == 7
