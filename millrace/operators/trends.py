@@ -6,6 +6,8 @@ number, the decade and the mean temperature.
 
 from __future__ import annotations
 
+import math
+
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -138,11 +140,79 @@ def positive_fraction(df: DataFrame, value: str) -> DataFrame:
 FIVE_RANKS = {"min_value": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max_value": 1.0}
 
 
+#: Values that are gathered once no more than these lie where a rank is, and the width of a step around it.
+GATHERED, STEP = 10_000, 0.002
+
+
+def exact_quantiles(df: DataFrame, value: str, ranks: list[float]) -> list[object]:
+    """For each rank p the value at place ceil(p * n) of the n values in order, nulls left out; None without values.
+
+    Each round draws the borders of a narrow step around each rank from a sketch of the values that are left,
+    and counts exactly what lies below, in and on them, so that the next round looks only where the rank is.  That
+    is a thousandth of the values a round, until few are left or all are equal; the state of a pass is
+    bounded whatever the values are.  Runs when called.
+    """
+    column = F.col(value)
+    whole = df.agg(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if not whole.n:
+        return [None] * len(ranks)
+    places = {p: min(max(1, math.ceil(p * whole.n)), whole.n) for p in ranks}
+    found = {p: whole.low if at == 1 else whole.high for p, at in places.items() if at in (1, whole.n)}
+    # Per rank: what may hold it, and how many values lie before that and in it.
+    left = {p: (whole.low, whole.high, 0, whole.n) for p in ranks if p not in found}
+
+    def within(low: object, high: object) -> Column:
+        return (column >= F.lit(low)) & (column <= F.lit(high))
+
+    while left:
+        for p in [p for p, (low, high, _, _) in left.items() if low == high]:
+            found[p] = left.pop(p)[0]
+        few = {p: part for p, part in left.items() if part[3] <= GATHERED}
+        if few:
+            row = df.agg(*[F.sort_array(F.collect_list(F.when(within(low, high), column))).alias(f"v{i}") for i, (low, high, _, _) in enumerate(few.values())]).first()
+            for i, (p, (_, _, before, _)) in enumerate(few.items()):
+                found[p] = row[i][places[p] - before - 1]
+                del left[p]
+        if not left:
+            break
+        # The borders, from a sketch of each part ...
+        asked = [F.percentile_approx(F.when(within(low, high), column), [max(0.0, (places[p] - before) / n - STEP), min(1.0, (places[p] - before) / n + STEP)], round(2 / STEP)).alias(f"s{i}")
+                 for i, (p, (low, high, before, n)) in enumerate(left.items())]
+        borders = df.agg(*asked).first()
+        # ... and exact counts of what lies before, on, between and on them.
+        counts = []
+        for i, (low, high, _, _) in enumerate(left.values()):
+            a, b = borders[i]
+            here = within(low, high)
+            counts += [F.count_if(here & test).alias(f"c{i}_{k}") for k, test in enumerate((column < F.lit(a), column == F.lit(a), (column > F.lit(a)) & (column < F.lit(b)), column == F.lit(b) if a != b else F.lit(False)))]
+            counts += [F.max(F.when(here & (column < F.lit(a)), column)).alias(f"m{i}"), F.min(F.when(here & (column > F.lit(a)) & (column < F.lit(b)), column)).alias(f"l{i}"),
+                       F.max(F.when(here & (column > F.lit(a)) & (column < F.lit(b)), column)).alias(f"h{i}"), F.min(F.when(here & (column > F.lit(b)), column)).alias(f"o{i}")]
+        row = df.agg(*counts).first()
+        for i, (p, (low, high, before, n)) in enumerate(list(left.items())):
+            (a, b), at = borders[i], places[p] - before
+            sizes = [row[f"c{i}_{k}"] for k in range(4)]
+            parts = [(low, row[f"m{i}"]), (a, a), (row[f"l{i}"], row[f"h{i}"]), (b, b), (row[f"o{i}"], high)]
+            for (first, last), size in zip(parts, [*sizes, n - sum(sizes)]):
+                if at <= size:
+                    left[p] = first, last, before, size
+                    break
+                at, before = at - size, before + size
+    return [found[p] for p in ranks]
+
+
+def exact_five_numbers(df: DataFrame, value: str) -> DataFrame:
+    """Least value, quartiles and greatest value, exact for any number of rows.  Runs when called."""
+    names = list(FIVE_RANKS)
+    row = exact_quantiles(df, value, list(FIVE_RANKS.values()))
+    kind = df.schema[value].dataType.simpleString()
+    return df.sparkSession.createDataFrame([tuple(row)], ", ".join(f"{name} {kind}" for name in names))
+
+
 def five_numbers(df: DataFrame, value: str, error: float = 0.01) -> DataFrame:
     """Least value, quartiles and greatest value, each an element of the data.
 
     Ranks are off by at most ``error`` times the rows; nulls are skipped.  The state
-    is a sketch whose size depends on ``error`` only.
+    is a sketch whose size depends on ``error`` only; ``exact_five_numbers`` has no error.
     """
     sketch = F.percentile_approx(F.col(value), list(FIVE_RANKS.values()), round(1 / error))
     row = df.agg(sketch.alias("q"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 
 import pandas as pd
@@ -197,3 +198,23 @@ def test_a_busy_station_is_combined_before_it_moves(spark, tmp_path):
                 assert "partial_" in seen, (name, seen)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("values", [
+    [1.0], [None, 3.0, None], [2.0] * 50, [float(i % 7) for i in range(500)], [10.0 ** (i - 150) for i in range(300)],
+    [-(1.5 ** i) for i in range(200)] + [0.0] * 150, [1.0] * 400 + [float(i) for i in range(100)]])
+def test_exact_quantiles_of_any_values(spark, values, monkeypatch):
+    monkeypatch.setattr(trends, "GATHERED", 4)
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    known, ranks = sorted(v for v in values if v is not None), [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    want = [known[max(1, math.ceil(p * len(known))) - 1] for p in ranks]
+    assert trends.exact_quantiles(frame, "v", ranks) == want
+
+
+def test_exact_quantiles_of_many_rows(spark):
+    """Skewed values, a third of them equal, more than are ever gathered."""
+    frame = spark.range(300_000).selectExpr("if(id % 3 = 0, 7.5, pow(1.0001, id)) AS v").repartition(5)
+    known = sorted(7.5 if i % 3 == 0 else 1.0001 ** i for i in range(300_000))
+    got = tuple(trends.exact_five_numbers(frame, "v").first())
+    assert got == pytest.approx([known[0], known[74_999], known[149_999], known[224_999], known[-1]], rel=1e-9)
+    assert tuple(trends.exact_five_numbers(frame.limit(0), "v").first()) == (None,) * 5
