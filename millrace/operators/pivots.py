@@ -81,7 +81,6 @@ class PivotSearch:
 
     slices: DataFrame
     blocks: DataFrame
-    sizes: list[int]
     new_best: Callable[[Queries, int], Best]
     k: int
 
@@ -103,11 +102,11 @@ class PivotSearch:
 
     def skipped(self) -> DataFrame:
         """One row: ``pairs`` of a query and a data row in all, ``met`` those that were compared, and ``share`` skipped."""
-        queries = F.length("qids") / 8
-        sizes = F.array(*[F.lit(size).cast("double") for size in self.sizes]) if self.sizes else F.array().cast("array<double>")
-        met = F.aggregate(F.transform("meets", lambda s: F.get(sizes, s)), F.lit(0.0), lambda a, b: a + b)
-        total = self.blocks.agg(F.sum(queries * float(sum(self.sizes))).alias("pairs"), F.sum(queries * met).alias("met"))
-        return total.withColumn("share", 1 - F.col("met") / F.col("pairs"))
+        rows = self.slices.select("slice", (F.length("ids") / 8).alias("rows"))
+        asked = self.blocks.select((F.length("qids") / 8).alias("queries"), F.explode("meets").alias("slice"))
+        met = asked.groupBy("slice").agg(F.sum("queries").alias("queries")).join(rows, "slice").agg(F.sum(F.col("queries") * F.col("rows")).alias("met"))
+        total = rows.agg(F.sum("rows").alias("rows")).join(self.blocks.agg(F.sum(F.length("qids") / 8).alias("queries")))
+        return total.join(met).select((F.col("rows") * F.col("queries")).alias("pairs"), "met").withColumn("share", 1 - F.col("met") / F.col("pairs"))
 
 
 def pivot_search(rows: DataFrame, asked: DataFrame, count: int, dims: int, slice_rows: int | None, new_best: Callable[[Queries, int], Best],
@@ -166,7 +165,6 @@ def pivot_search(rows: DataFrame, asked: DataFrame, count: int, dims: int, slice
     slice_of = (numbered(firsts) + F.pmod(F.xxhash64("id"), numbered(cuts).cast("bigint")).cast("int")).alias("slice")
     slices = materialise(dealt.select(slice_of, "id", "vec").repartition("slice").sortWithinPartitions("slice").mapInArrow(
         _pack("slice", ("id",), 1 << 62), "slice int, ids binary, vecs binary"), "slices")
-    sizes = {row.slice: row.n for row in slices.select("slice", (F.length("ids") / 8).cast("int").alias("n")).collect()}
 
     # A block of queries has one pivot, and meets the first slice there (or of the nearest pivot that has rows).
     near = asked.select("qid", F.coalesce("skip", F.lit(np.iinfo(np.int64).min)).alias("skip"), "vec").mapInArrow(
@@ -175,11 +173,11 @@ def pivot_search(rows: DataFrame, asked: DataFrame, count: int, dims: int, slice
         _pack("cell", ("qid", "skip"), per_block), "cell int, qids binary, skips binary, vecs binary")
     if not cells:
         empty = spark.createDataFrame([], "block bigint, qids binary, skips binary, vecs binary, floors binary, meets array<int>")
-        return PivotSearch(slices, empty, [], new_best, k)
+        return PivotSearch(slices, empty, new_best, k)
     full = np.array(cells)
     home = {cell: firsts[int(full[squares(pivots[[cell]], pivots[full])[0].argmin()])] for cell in range(len(pivots))}
     packed = packed.withColumn("home", numbered(home))
-    radius, owners, listed = np.array([known[cell].radius for cell in cells]), np.array(owner), {cell: at for at, cell in enumerate(cells)}
+    radius, listed = np.array([known[cell].radius for cell in cells]), {cell: at for at, cell in enumerate(cells)}
     place = np.array([listed[cell] for cell in owner])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +199,7 @@ def pivot_search(rows: DataFrame, asked: DataFrame, count: int, dims: int, slice
     first = packed.withColumnRenamed("vecs", "asked").join(slices, F.col("home") == F.col("slice"))
     blocks = materialise(first.select("qids", "skips", "asked", "ids", "vecs").mapInArrow(
         ask, "qids binary, skips binary, vecs binary, floors binary, meets array<int>"), "blocks")
-    return PivotSearch(slices, blocks, [sizes.get(at, 0) for at in range(len(owners))], new_best, k)
+    return PivotSearch(slices, blocks, new_best, k)
 
 
 def _pack(key: str, numbers: tuple[str, ...], most: int):

@@ -139,13 +139,20 @@ UPDATES = f"""
 SELECT word, CAST(h & {REGISTERS - 1} AS INTEGER) AS j,
        CAST(CASE WHEN h = 0 THEN 0 ELSE 33 - length(bin(h)) END AS INTEGER) AS r FROM ({HASHED})"""
 REACHED = f"SELECT j, max(r) AS r FROM ({UPDATES}) GROUP BY j"
-ESTIMATE = f"""
-WITH z AS (SELECT 0.7213 / (1 + 1.079 / {REGISTERS}.0) * {REGISTERS}.0 * {REGISTERS}.0
+def estimate(reached: str, by: str = "", group: str = "") -> str:
+    return f"""
+WITH z AS (SELECT {by} 0.7213 / (1 + 1.079 / {REGISTERS}.0) * {REGISTERS}.0 * {REGISTERS}.0
                   / (sum(CASE WHEN r > 0 THEN pow(2.0::DOUBLE, -r) END) + {REGISTERS} - count(*) FILTER (WHERE r > 0)) AS raw,
-                  {REGISTERS} - count(*) FILTER (WHERE r > 0) AS empty FROM ({REACHED}))
-SELECT round(CASE WHEN raw <= 2.5 * {REGISTERS} AND empty > 0 THEN {REGISTERS} * ln({REGISTERS}.0 / empty)
+                  {REGISTERS} - count(*) FILTER (WHERE r > 0) AS empty FROM ({reached}) {group})
+SELECT {by} round(CASE WHEN raw <= 2.5 * {REGISTERS} AND empty > 0 THEN {REGISTERS} * ln({REGISTERS}.0 / empty)
                   WHEN raw > 4294967296.0 / 30 THEN -4294967296.0 * ln(1 - raw / 4294967296.0)
                   ELSE raw END, 4) AS estimate FROM z"""
+
+
+ESTIMATE = estimate(REACHED)
+ESTIMATE_BY_LANGUAGE = "SELECT * FROM (" + estimate(
+    f"SELECT lang, j, max(r) AS r FROM ({UPDATES}) JOIN (SELECT DISTINCT lang, word FROM ({word_rows('documents', 'lang,')})) USING (word)"
+    " GROUP BY lang, j", "lang,", "GROUP BY lang") + ")"
 HISTOGRAM = f"""
 SELECT b AS bucket, CAST(count(word) AS BIGINT) AS n
 FROM range({BUCKETS}) every(b) LEFT JOIN ({HASHED_QUALITY}) ON h & {BUCKETS - 1} = b GROUP BY b"""
@@ -243,6 +250,7 @@ def oracles() -> dict[str, str]:
         "stream_word_count": COUNTS,
         "stream_running_counts": COUNTS,
         "stream_text_files": COUNTS,
+        "stream_compacted": COUNTS,
         "corpus_report":
             f"SELECT 'checksum' AS part, '' AS word, checksum AS n FROM ({CHECKSUM})"
             f" UNION ALL SELECT 'top', word, n FROM ({TOP10})",
@@ -270,6 +278,7 @@ def oracles() -> dict[str, str]:
             f"SELECT station, name, {settled('beta')} AS beta FROM"
             f" (SELECT * FROM ({SLOPES}) ORDER BY beta DESC NULLS LAST, station LIMIT 5)",
         "slope_positive_fraction": f"SELECT round({positive_share('beta')}, 6) AS fraction FROM ({SLOPES})",
+        "slope_quantiles_exact": f"SELECT {five_numbers('beta')} FROM ({SLOPES})",
         "slope_five_numbers": f"SELECT {five_numbers('beta')} FROM ({SLOPES})",
         "decade_avg": f"SELECT station, name, decade, {settled('decade_avg')} AS decade_avg FROM ({DECADE_AVERAGES})",
         "decade_diff":
@@ -295,6 +304,7 @@ def oracles() -> dict[str, str]:
         "hll_jr": UPDATES,
         "hll_registers": REACHED,
         "hll_estimate": ESTIMATE,
+        "hll_by_language": f"{ESTIMATE_BY_LANGUAGE} UNION ALL SELECT 'all', estimate FROM ({ESTIMATE})",
         "hll_against_exact":
             "SELECT CAST(count(DISTINCT word) AS BIGINT) AS exact, true AS ours_near, true AS builtin_near"
             f" FROM ({word_rows('documents')})",
@@ -320,8 +330,11 @@ def oracles() -> dict[str, str]:
         "lsh_buckets": f"SELECT tbl, bucket, id FROM ({BUCKET_ROWS})",
         "lsh_top3": lsh_ranking(3, False),
         "lsh_top3_cells": lsh_ranking(3, False),
+        "lsh_stored_index": lsh_ranking(3, False),
         "lsh_ranking_with_self": lsh_ranking(10, True),
         "scan_text_files": COUNTS,
+        "scan_hidden_files": COUNTS,
+        "scan_links": f"SELECT CAST(\"user\" AS VARCHAR) AS user, degree FROM ({IN_DEGREE})",
         "scan_adjacency": f"SELECT CAST(\"user\" AS VARCHAR) AS user, degree FROM ({IN_DEGREE})",
         "scan_adjacency_out": f"SELECT CAST(\"user\" AS VARCHAR) AS user, degree FROM ({OUT_DEGREE})",
         "scan_resources": TOTALS,

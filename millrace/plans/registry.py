@@ -17,11 +17,12 @@ from millrace.functions.hashing import murmur3_32
 from millrace.functions.text import words
 from millrace.operators import counting, graph, sketches, totals, trends
 from millrace.operators.lsh import SignHash, lsh_index, lsh_nearest, sign_bits
+from millrace.operators.lsh_store import StoredIndex
 from millrace.operators.neighbours import nearest
 from millrace.plans import inputs, reports
-from millrace.session import scratch_dir
+from millrace.session import materialise, scratch_dir
 from millrace.sources import tables, text
-from millrace.streaming.counting import stream_word_count, text_stream
+from millrace.streaming.counting import count_arriving, counts_so_far, stream_word_count, text_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,8 +135,17 @@ def stream_text_files(spark: SparkSession, folder: str) -> DataFrame:
     return stream_word_count(text_stream(spark, _text_files(spark, folder), STREAM_FILES))
 
 
-#: Files a micro-batch.
-STREAM_FILES = 16
+@query
+def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Arriving files in batches of bounded bytes, merged to a snapshot after every third."""
+    home = scratch_dir(spark, "stream")
+    stream = text_stream(spark, _text_files(spark, folder), bytes_per_batch=STREAM_BYTES)
+    count_arriving(stream, f"{home}/counts", f"{home}/checkpoint", every=3)
+    return counts_so_far(spark, f"{home}/counts")
+
+
+#: Files a micro-batch, and bytes.
+STREAM_FILES, STREAM_BYTES = 16, 4 << 20
 
 
 def _documents_stream(spark: SparkSession, folder: str, files_per_batch: int = STREAM_FILES) -> DataFrame:
@@ -261,6 +271,13 @@ def slope_five_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return row.select(*[settled(name) for name in trends.FIVE_RANKS])
 
 
+@query
+def slope_quantiles_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The five numbers without a sketch's error, whatever the number of rows."""
+    return trends.exact_five_numbers(materialise(_slopes(spark, folder).select("beta"), "slopes"), "beta").select(
+        *[settled(name) for name in trends.FIVE_RANKS])
+
+
 @query
 def decade_avg(spark: SparkSession, folder: str) -> DataFrame:
     averages = trends.decade_averages(_daily(spark, folder), DECADES)
@@ -348,6 +365,16 @@ def hll_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return reports.distinct_words(inputs.corpus(spark, folder), REGISTERS).select(rounded("estimate", 4))
 
 
+@query
+def hll_by_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored sketches per language, and their roll-up to the whole corpus, which reads no word again."""
+    tokens = words(inputs.corpus(spark, folder), keep=("lang",))
+    stored = materialise(sketches.hll_sketches(tokens, "word", "lang", REGISTERS), "sketches")
+    each = sketches.hll_estimate(stored, REGISTERS, "lang")
+    whole = sketches.hll_estimate(sketches.merge_sketches(stored), REGISTERS).select(F.lit("all").alias("lang"), "estimate")
+    return each.unionByName(whole).select("lang", rounded("estimate", 4))
+
+
 @query
 def hll_against_exact(spark: SparkSession, folder: str) -> DataFrame:
     """The exact number of distinct words, and whether both estimates come near it."""
@@ -485,6 +512,15 @@ def lsh_top3_cells(spark: SparkSession, folder: str) -> DataFrame:
         max_broadcast_bytes=0, slice_rows=16))
 
 
+@query
+def lsh_stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    """An index built of two thirds of the vectors, appended to, opened again and searched."""
+    known, home = inputs.word_vectors(spark, folder), scratch_dir(spark, "lsh-index")
+    unit = vec.normalise(known)
+    StoredIndex.build(unit.filter("id % 3 > 0"), SCHEME, home).append(unit.filter("id % 3 = 0"))
+    return _answers(reports.lsh_neighbours(known, _word_queries(spark, folder), SCHEME, 3, StoredIndex.open(spark, home)))
+
+
 @query
 def lsh_ranking_with_self(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates including the query itself, which leads its own ranking."""
@@ -515,6 +551,21 @@ def scan_text_files(spark: SparkSession, folder: str) -> DataFrame:
     return counting.word_count(text.read_corpus(spark, _text_files(spark, folder)))
 
 
+@query
+def scan_hidden_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as text files, half of them below a folder with a hidden name, walked from a glob and counted."""
+    docs, path = inputs.corpus(spark, folder).select("doc_id", "lang", "text"), scratch_dir(spark, "corpus")
+    for part, below in enumerate(("plain", "plain/_late")):
+        docs.filter(F.pmod("doc_id", F.lit(2)) == part).select("lang", "text").write.partitionBy("lang").text(f"{path}/{below}")
+    return counting.word_count(text.read_corpus(spark, f"{path}/*"))
+
+
+@query
+def scan_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The graph as lines of many ids, read between blanks and not by lines: in-degrees."""
+    return graph.in_degree(text.read_links(spark, _stored(inputs.adjacency_lines(spark, folder), "graph")))
+
+
 @query
 def scan_adjacency(spark: SparkSession, folder: str) -> DataFrame:
     """The graph as lines of many ids, parsed back: in-degrees."""
