@@ -46,8 +46,9 @@ ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]*)-----EN
 #: An armoured block that is encoded as a whole starts with the digits of "---".
 ENCODED_ARMOUR = re.compile(r"LS0t(?<![A-Za-z0-9+/_-]LS0t)[A-Za-z0-9+/_-]{30,}={0,2}")
 #: Line ends and slashes as JSON, shells and .env files write them.
-ESCAPED = re.compile(r"(?:\\+(?:r|u000[dD]))?\\+(?:n|u000[aA])|\\+(?:[rt]|u000[dD9])")
-ESCAPED_PLAIN = re.compile(r"\\+(?=[/\s])")
+#: A run of backslashes is taken whole and from its beginning, or a long one would be tried from each of its places.
+ESCAPED = re.compile(r"(?<!\\)\\++(?:(?:(?:r|u000[dD])\\++)?(?:n|u000[aA])|[rt]|u000[dD9])")
+ESCAPED_PLAIN = re.compile(r"(?<!\\)\\++(?=[/\s])")
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,confirmed:boolean>>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("confirmed", pa.bool_())]))
