@@ -172,14 +172,31 @@ def _iban(p: Permutation, text: str) -> str | None:
     return _put(text, country + f"{98 - _iban_rest(country, new) * 100 % 97:02d}" + new, re.compile("[A-Z0-9]"))
 
 
+#: The country calling codes of one and of two digits; all others have three.
+COUNTRY_CODES = {
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+    "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86",
+    "90", "91", "92", "93", "94", "95", "98",
+}
+
+
 def _phone(p: Permutation, text: str) -> str | None:
-    """Country code stays; 8 to 15 digits in all."""
-    head = re.match(r"\+[0-9]{1,3}(?=[^0-9])|", text).group()
-    rest = text[len(head):]
-    digits = _digits(rest)
-    if not 7 <= len(digits) <= 14:
+    """The national digits are permuted under their country code, which stays, so that one number has one
+    pseudonym in all written forms.  Without a plus a number of ten digits is one of country code 1.  A trunk
+    zero in brackets is no part of the number; 8 to 15 digits in all."""
+    if text.startswith("+"):
+        digits = _digits(text.replace("(0)", ""))
+        code = next((digits[:n] for n in (1, 2) if digits[:n] in COUNTRY_CODES), digits[:3])
+        national = digits[len(code):]
+    else:
+        code, national = "1", _digits(text)
+    if not 7 <= len(national) <= 15 - len(code):
         return None
-    return head + _put(rest, _number(p, digits, "phone" + head))
+    # The first digits of a text with a plus are the country code's; separators may stand within them.
+    marked, head = text.replace("(0)", "(o)"), 0
+    for _ in code if text.startswith("+") else "":
+        head = re.compile("[0-9]").search(marked, head).end()
+    return (marked[:head] + _put(marked[head:], _number(p, national, "phone" + code))).replace("(o)", "(0)")
 
 
 def _ssn_valid(digits: str) -> bool:
@@ -234,7 +251,8 @@ def _ends(text: str, kind: str, start: int, end: int) -> list[int]:
     ends = [end, *reversed([m.start() for m in PARTED[kind].finditer(text, start, end)])]
     if kind != "card":
         return [at for at in ends if PATTERNS[kind].fullmatch(text, start, at)]
-    ends = [at for at in ends if at - start <= 37]
+    # A card has 13 to 19 digits; anything else is not looked at.
+    ends = [at for at in ends if 13 <= at - start <= 37 and 13 <= sum(map(str.isdigit, text[start:at])) <= 19]
     return sorted(ends, key=lambda at: not USUAL.fullmatch(text, start, at))
 
 
