@@ -3,7 +3,7 @@
 A template is any function from a list of turns to a string.  Nothing is known of it: the turns
 are rendered prefix by prefix, and what each adds to the output is that turn's span.  Where the
 text stands inside the span is found by rendering the same prefix with two probes as the text:
-the outputs differ just there.  A template whose output for a prefix is not the beginning of the
+the outputs differ just there, else the turn is marked as not placed.  A template whose output for a prefix is not the beginning of the
 next output rewrites history; such conversations are marked, for them no span is sure.
 """
 
@@ -76,26 +76,46 @@ def common(one: str, two: str) -> int:
     return low
 
 
-def locate(turns: Sequence[Turn], template: Template) -> tuple[str, list[tuple[int, int, int, int]], bool]:
-    """The output, per turn (start, end, text start, text end), and whether history is rewritten."""
+Place = tuple[int, int, int | None, int | None]
+
+
+def text_place(output: str, one: str, two: str) -> tuple[int | None, int | None]:
+    """Where the text stands in ``output``, from the outputs with each probe as the text.
+
+    They must differ in one place, by the probes themselves, and the true output must have the same beginning and
+    end around it; a template that drops or repeats a text, or writes other things for other texts, has no place.
+    """
+    head = common(one, two)
+    tail = one[head + 1:]
+    if one[head:head + 1] != PROBES[0] or two[head:head + 1] != PROBES[1] or tail != two[head + 1:]:
+        return None, None
+    if len(output) < head + len(tail) or not output.startswith(one[:head]) or not output.endswith(tail):
+        return None, None
+    return head, len(output) - len(tail)
+
+
+def locate(turns: Sequence[Turn], template: Template) -> tuple[str, list[Place], bool]:
+    """The output, per turn (start, end, text start, text end), and whether history is rewritten.
+
+    The text's place is None where it cannot be told, or where it lies outside the turn's own span.
+    """
     before, spans, rewrites = template([]), [], False
-    for n, (role, text) in enumerate(turns, 1):
+    for n, (role, _) in enumerate(turns, 1):
         output = template(turns[:n])
         start = len(before) if output.startswith(before) else common(before, output)
         rewrites |= start < len(before)
-        one, two = (template([*turns[:n - 1], (role, probe)]) for probe in PROBES)
-        head = common(one, two)
-        tail = len(one) - head - 1
-        spans.append((start, len(output), head, len(output) - tail))
+        begin, end = text_place(output, *(template([*turns[:n - 1], (role, probe)]) for probe in PROBES))
+        spans.append((start, len(output), begin, end) if begin is not None and begin >= start else (start, len(output), None, None))
         before = output
     return before, spans, rewrites
 
 
 def format_chats(rows: DataFrame, template: Template = tagged, loss_roles: Sequence[str] = LOSS_ROLES) -> DataFrame:
-    """Per conversation of ``rows`` (conv_id, turn, role, text): conv_id, formatted, spans, rewrites.
+    """Per conversation of ``rows`` (conv_id, turn, role, text): conv_id, formatted, spans, rewrites, unplaced.
 
     spans has a struct per turn: role, start, end, text_start, text_end in code points of
-    ``formatted``, and loss, true for the turns to be learnt.  Turns go by number, null first, and
+    ``formatted``, and loss, true for the turns to be learnt.  Where the template drops, repeats or moves a turn's
+    text, text_start and text_end are null, loss is false, and unplaced counts the turn.  Turns go by number, null first, and
     equal numbers by role and text; repeated rows are turns of their own.  A null role or text is
     empty, a null conv_id is a conversation like any other, an empty table gives an empty result.
     Further columns are not read.
@@ -114,11 +134,12 @@ def format_chats(rows: DataFrame, template: Template = tagged, loss_roles: Seque
 
     def made(conv: object, turns: list[Turn], kind: pa.DataType) -> pa.RecordBatch:
         output, places, rewrites = locate(turns, template)
-        spans = [dict(zip(("role", "start", "end", "text_start", "text_end", "loss"), (role, *place, role in loss_roles)))
+        spans = [dict(zip(("role", "start", "end", "text_start", "text_end", "loss"), (role, *place, role in loss_roles and place[2] is not None)))
                  for (role, _), place in zip(turns, places)]
+        unplaced = sum(place[2] is None for place in places)
         return pa.RecordBatch.from_arrays(
-            [pa.array([conv], kind), pa.array([output]), pa.array([spans], pa.list_(span)), pa.array([rewrites])],
-            ["conv_id", "formatted", "spans", "rewrites"])
+            [pa.array([conv], kind), pa.array([output]), pa.array([spans], pa.list_(span)), pa.array([rewrites]), pa.array([unplaced], pa.int32())],
+            ["conv_id", "formatted", "spans", "rewrites", "unplaced"])
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, turns, kind = None, [], None
@@ -135,4 +156,4 @@ def format_chats(rows: DataFrame, template: Template = tagged, loss_roles: Seque
 
     return dealt.mapInArrow(
         render, f"conv_id {kind}, formatted string, spans array<struct<role:string,start:int,end:int,"
-                "text_start:int,text_end:int,loss:boolean>>, rewrites boolean")
+                "text_start:int,text_end:int,loss:boolean>>, rewrites boolean, unplaced int")
