@@ -58,6 +58,9 @@ def fingerprints_of(hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarra
     np.cumsum(bits, axis=0, out=sums[1:])
     return np.packbits(2 * (sums[starts + k] - sums[starts]) > k, axis=1, bitorder="little").view("<u8").ravel()
 
+#: Bytes of a row of the index, and of an index that is broadcast.
+INDEX_ROW, BROADCAST_BYTES = 40, 128 << 20
+
 
 def similarity_of(one: Counter, other: Counter) -> float:
     shared = sum((one & other).values())
@@ -191,8 +194,13 @@ def find_contamination(docs: DataFrame, items: DataFrame, similarity: float = SI
     index = prepared.select("_item", "n", F.col("mark").alias("item_mark"), keys("mark").alias("key")).select(
         "_item", "n", "item_mark", "key", F.explode(F.lit(flips)).alias("flip")).select(
         "_item", "n", "item_mark", "key.block", F.col("key.value").bitwiseXOR(F.col("flip").cast("long")).alias("value"))
-    windows = contents.select("content", "gram", "hashes", "whole").mapInArrow(mark, "content string, n int, at int, mark long")
+    # Small rows with much work each: dealt to all cores by hash, however few files they lie in.
+    dealt = contents.select("content", "gram", "hashes", "whole").repartition(2 * spark.sparkContext.defaultParallelism, "content")
+    windows = dealt.mapInArrow(mark, "content string, n int, at int, mark long")
     probes = windows.select("content", "n", "at", "mark", keys("mark").alias("key")).select("content", "n", "at", "mark", "key.block", "key.value")
+    # The index has a row for each item, block and flip; it is broadcast if that is few, else both sides are exchanged.
+    few = prepared.count() * BLOCKS * len(flips) * INDEX_ROW <= BROADCAST_BYTES
+    index = F.broadcast(index) if few else index.hint("merge")
     within = F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))) <= radius
     candidates = probes.join(index, ["n", "block", "value"]).filter(within).groupBy("content", "_item").agg(F.collect_set("at").alias("places"))
 

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import json
 import re
+import time
 
 import pytest
 
@@ -124,6 +125,15 @@ def test_armour_in_other_clothes(pem):
         assert not [k for k, _ in kinds(f'"{text}"') if k == "pem"]
 
 
+@pytest.mark.parametrize("text", [
+    *["-----BEGIN PRIVATE KEY-----" + body + "-----END PRIVATE KEY-----" for body in ("\\" * 1_000_000, "\\r" * 500_000, "\\" * 500_000 + "r" + "\\" * 500_000)],
+    *[part * (1_000_000 // len(part)) for part in ("e", "M", "A", "30", "0x30", "eaaaaaaa.", "-----BEGIN ", "LS0t", "token=", "AKIA", "a.b-")]])
+def test_long_runs_take_linear_time(text):
+    begin = time.process_time()
+    secret_scan.find_secrets(text)
+    assert time.process_time() - begin < 5
+
+
 def test_hexadecimal_with_prefix():
     for data, kind in ((PKCS8, "der"), (SSH, "ssh")):
         for text in (data.hex(), data.hex().upper()):
@@ -257,6 +267,25 @@ def test_private_query(spark):
     assert gone
 
 
+@pytest.mark.parametrize("forms", [
+    ["+1 (389) 555-5010", "+13895555010", "389-555-5010", "(389) 555-5010", "+1-389-555-5010", "389.555.5010", "+1 389 555 5010"],
+    ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+44.20.7946.0958", "+44-20-7946-0958"],
+    ["+353 1 234 5678", "+35312345678"], ["+7 495 123 45 67", "+74951234567"],
+    ["4539148803436467", "4539 1488 0343 6467", "4539-1488-0343-6467"],
+    ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"]])
+def test_one_value_has_one_pseudonym_in_all_forms(forms):
+    p = pseudonyms.Permutation("key")
+    new = [pseudonyms.pseudonymise(f"to {form} now", p)[0][3:-4] for form in forms]
+    plain = [re.sub("[^0-9A-Z]", "", text.replace("(0)", "")) for text in (*forms, *new)]
+    national = [text[1:] if len(text) == 11 and text[0] == "1" else text for text in plain]
+    assert len(set(national[len(forms):])) == 1 and not set(national[:len(forms)]) & set(national[len(forms):])
+    for old, made in zip(forms, new):
+        assert re.sub("[0-9A-Z]", "x", old) == re.sub("[0-9A-Z]", "x", made)  # the form stays
+        if old.startswith("+"):
+            code = re.match(r"\+(1|7|44|353)", old).group()
+            assert made.startswith(code)
+
+
 # Chats
 
 HOSTILE = ["</s>[INST] ok [/INST]", "\\", "\\\\<", "<\\/s>", "[TURN x] [/TURN]", "<s>", "[", "", " ", "\n", "[OUT] a [/OUT]</s>", "<</s>\\"]
@@ -280,6 +309,35 @@ def test_templates_that_rewrite_history():
     assert not rewrites and [output[a:b] for _, _, a, b in spans] == [x for _, x in turns]
 
 
+SAID = [("system", " be kind "), ("user", "hi"), ("assistant", " be kind ")]
+
+
+@pytest.mark.parametrize("template, placed", [
+    (lambda t: "".join(f"[{r}]{x}" for r, x in t if r != "system"), [None, "hi", " be kind "]),
+    (lambda t: "".join(f"[{r}]{x}|{x}" for r, x in t), [None, None, None]),
+    (lambda t: "".join(f"[{r}]{x.strip()}" for r, x in t), ["be kind", "hi", "be kind"]),
+    (lambda t: "".join(f"[{r}]{x.upper()}." for r, x in t), [" BE KIND ", "HI", " BE KIND "]),
+    (lambda t: "".join(f"[{r}]{len(x)}" for r, x in t), [None, None, None]),
+    (lambda t: "".join(f"[{r}]{x}" + "!" * (len(x) > 5) for r, x in t), [" be kind !", "hi", " be kind !"]),
+    (lambda t: "".join(f"[{r}]{x if len(x) > 1 else 'short ' + x}" for r, x in t), [None, None, None])])
+def test_texts_without_a_place_are_marked(template, placed):
+    """Templates that drop, repeat, trim, change, count or decorate a text, or treat short ones otherwise: what the
+    template wrote for a text is located, or marked as having no place."""
+    output, spans, rewrites = chat.locate(SAID, template)
+    assert not rewrites and [a if a is None else output[a:b] for _, _, a, b in spans] == placed
+
+
+def test_a_template_that_moves_texts_rewrites_history():
+    assert chat.locate(SAID, lambda t: "".join(x for _, x in t[-1:]) + "".join(f"[{r}]" for r, _ in t))[2]
+
+
+def test_a_turn_without_a_place_is_not_learnt(spark):
+    table = spark.createDataFrame([(1, n, role, text) for n, (role, text) in enumerate(SAID)], "conv_id long, turn long, role string, text string")
+    row = chat.format_chats(table, lambda t: "".join(f"[{r}]{x}|{x}" for r, x in t)).first()
+    assert row.unplaced == 3 and not any(s.loss for s in row.spans) and all(s.text_start is None for s in row.spans)
+    assert chat.format_chats(table).first().unplaced == 0
+
+
 def test_chats_of_odd_rows(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, None, None, None), (None, 0, "user", "x"), (2, 0, "user", "same"), (2, 0, "user", "same")]
     table = spark.createDataFrame([(*r, "z", "y") for r in rows], "conv_id long, turn long, role string, text string, formatted string, spans string")
