@@ -246,7 +246,7 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUAN
                      text_column: str = "text", lang_column: str = "lang",
                      block_characters: int = BLOCK_CHARACTERS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per row of ``docs``: id, lang, trusted, n_symbols, perplexity, threshold, kept, and in the same way
-    rarity, rarity_threshold, clean.  ``kept`` does not depend on ``clean``.
+    rarity, rarity_threshold, clean.  ``kept`` does not depend on ``clean``; ``accepted`` is both.
 
     ``trusted`` lists ids (in a column named like ``id_column``) of texts to learn from, all of which
     are used; ids that are not in ``docs`` or null have no effect.  A null text is empty; an empty
@@ -257,7 +257,9 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUAN
     rank within a ten-thousandth.
     """
     ids = trusted.select(F.col(f"`{id_column}`").alias("_key")).filter("_key IS NOT NULL").distinct()
-    small = ids.count() * 16 <= broadcast_bytes
+    # Ids of any type, by the bytes they are written with.
+    held = ids.agg(F.sum(F.octet_length(F.col("_key").cast("string")) + F.lit(32))).first()[0] or 0
+    small = held <= broadcast_bytes
     chosen = docs.select(
         F.col(f"`{id_column}`"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("_text"),
         F.coalesce(F.col(f"`{lang_column}`"), F.lit("")).alias("_lang"))
@@ -279,4 +281,4 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUAN
     return scored.join(F.broadcast(thresholds) if few else thresholds, "lang", "left").select(
         id_column, "lang", "trusted", "n_symbols", "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"), "rarity", "rarity_threshold",
-        F.coalesce(F.col("rarity") <= F.col("rarity_threshold"), F.lit(True)).alias("clean"))
+        F.coalesce(F.col("rarity") <= F.col("rarity_threshold"), F.lit(True)).alias("clean")).withColumn("accepted", F.col("kept") & F.col("clean"))

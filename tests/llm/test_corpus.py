@@ -294,7 +294,7 @@ def test_pipeline(spark):
     sets = [{r.doc_id for r in frame.collect()} for frame in left]
     assert all(later <= earlier for earlier, later in zip(sets, sets[1:]))
     assert all(frame.columns == docs.columns for frame in left[:-1])
-    rejected = {r.doc_id for r in kneser_ney.classify_quality(docs, trusted_ids(spark, FOLDER)).filter("NOT kept").collect()}
+    rejected = {r.doc_id for r in kneser_ney.classify_quality(docs, trusted_ids(spark, FOLDER)).filter("NOT accepted").collect()}
     assert sets[1] == set(whole) - rejected
     from test_dedup import brute_marks
     component = {key: least for key, _, least in brute_marks([(r.doc_id, r.text) for r in left[1].collect()])}
@@ -312,6 +312,18 @@ def test_pipeline(spark):
     assert ran == Counter({key: len(c) for key, c in copies.items()})
 
 
+def test_key_of_the_pseudonyms(spark):
+    """A run's own key gives other pseudonyms, and the same ones each time."""
+    docs = spark.createDataFrame([(1, "mail ann.lee@example.org now")], "doc_id long, text string")
+    public = corpus_pipeline.pseudonymous(spark, docs, FOLDER).first().text
+    spark.conf.set(corpus_pipeline.KEY_SETTING, "own")
+    try:
+        own = [corpus_pipeline.pseudonymous(spark, docs, FOLDER).first().text for _ in range(2)]
+    finally:
+        spark.conf.unset(corpus_pipeline.KEY_SETTING)
+    assert own[0] == own[1] != public and "ann.lee" not in own[0] + public
+
+
 def test_stages_on_odd_tables(spark, docs):
     table = docs([(1, "a b c"), (1, "a b c"), (None, None), (None, ""), (5, "ip 10.0.0.1 and more words")]).withColumnsRenamed(
         {"block": "mix_copy", "spans": "_rows"}).withColumn("n_chars", corpus_pipeline.F.length("text"))
