@@ -20,6 +20,9 @@ from millrace.llm.simhash import near_duplicates
 from millrace.session import materialise
 
 SPANS, COPY = "_pii_spans", "mix_copy"
+#: Names the key of the pseudonyms in the Spark configuration.  Whoever has the key can undo them, so a run over real
+#: documents sets its own; without one the key of the registered queries is used, which is public.
+KEY_SETTING = "spark.millrace.pseudonymKey"
 
 
 def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -28,9 +31,10 @@ def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier accepts, by their perplexity and by that of their rarest trigrams,
+    which shows insults in otherwise normal prose."""
     judged = classify_quality(docs, trusted_ids(spark, sf_dir))
-    return _by_id(docs, judged.filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "left_anti")
+    return _by_id(docs, judged.filter("NOT accepted").select(F.col("doc_id").alias("_id")).distinct(), "left_anti")
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms; n_chars, where there is such a column, follows the new text."""
-    replaced = replace_private(docs, PSEUDONYM_KEY, found_column=SPANS)
+    replaced = replace_private(docs, spark.conf.get(KEY_SETTING, PSEUDONYM_KEY), found_column=SPANS)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         replaced = replaced.withColumn("n_chars", F.when(F.size(SPANS) > 0, length).otherwise(F.col("n_chars")))
