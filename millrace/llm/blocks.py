@@ -10,6 +10,10 @@ splits there are by then.
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import math
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -125,14 +129,28 @@ def ordered_blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def order_key(key: object) -> str:
-    """A text that sorts as ids do, nulls first."""
+    """A text that sorts as ids of one column do, nulls first: whole numbers, texts, dates, times, booleans,
+    decimals, fractions and bytes."""
     if key is None:
         return ""
-    if isinstance(key, int):
+    if isinstance(key, int):  # booleans too
         return f"1{key + (1 << 63):020d}"
     if isinstance(key, str):
         return f"1{key}"
-    raise TypeError(f"ids must be whole numbers or texts, not {type(key).__name__}")
+    if isinstance(key, datetime.datetime):
+        return f"1{key.replace(tzinfo=None).isoformat(timespec='microseconds')}"
+    if isinstance(key, datetime.date):
+        return f"1{key.isoformat()}"
+    if isinstance(key, decimal.Decimal):  # all of a column have the same scale
+        sign, digits, _ = key.as_tuple()
+        number = int("".join(map(str, digits)))
+        return f"1{10**38 + (-number if sign else number):040d}"
+    if isinstance(key, float):
+        bits = struct.unpack(">Q", struct.pack(">d", math.nan if key != key else key + 0.0))[0]
+        return f"1{bits ^ (((1 << 64) - 1) if bits >> 63 else (1 << 63)):016x}"
+    if isinstance(key, bytes):
+        return f"1{key.hex()}"
+    raise TypeError(f"ids of type {type(key).__name__} have no order here")
 
 
 def exchange(blocks: DataFrame, hashes_of: Callable[[list, list[int], bytes], np.ndarray], total: int,

@@ -78,7 +78,8 @@ def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Per row of ``docs``: id, n_words, kept (the words left, joined by one space), removed
     (maximal intervals of word positions, ends exclusive).
 
-    Words are the runs between ASCII white space, unchanged.  A null text has no words.  A null id
+    Ids are of any type that Spark can sort, but for nested ones.  Words are the runs between ASCII white space,
+    unchanged.  A null text has no words; a text of any length is one value in one task.  A null id
     counts as smaller than any other; rows with equal ids, nulls included, are never earlier than
     each other, and each is judged against the smaller ids.  Texts shorter than a window stay
     whole.  An empty table gives an empty result; further columns are not read.  Equality is that of

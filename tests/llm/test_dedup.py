@@ -185,3 +185,15 @@ def test_queries_against_brute_force(spark):
     assert got("op1_suffix_dedup", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 200)
     assert got("op3_substring_dedup", "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, 13)
     assert got("op4_simhash", "doc_id", "fingerprint", "component_id") == brute_marks(rows)
+
+
+@pytest.mark.parametrize("kind", [
+    "date_add(date'2020-01-01', cast(doc_id as int))", "cast(doc_id as decimal(20, 2)) - 100", "timestamp_seconds(doc_id * 1000)", "cast(doc_id as double) - 50.5",
+    "concat('d', lpad(cast(doc_id as string), 8, '0'))", "encode(lpad(cast(doc_id as string), 8, '0'), 'utf-8')", "cast(doc_id as smallint)"])
+def test_substring_dedup_by_ids_of_other_types(docs, kind):
+    """Ids in the same order give the same cuts, over several blocks."""
+    rows = corpus(11, 40)
+    table = docs(rows).selectExpr("*", f"{kind} AS own").repartition(3)
+    want = substring_dedup.remove_repeated(table, "doc_id", block_bytes=2000).select("kept").collect()
+    got = substring_dedup.remove_repeated(table, "own", block_bytes=2000).select("kept").collect()
+    assert sorted(r.kept for r in got) == sorted(r.kept for r in want)
