@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip_blanks
-from millrace.session import materialise
+from millrace.session import materialise, scratch_dir
 from millrace.sources.hidden import hidden_files, read_hidden
 
 
@@ -34,27 +34,41 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def pinned(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose scans cut files as this one would now, whatever cores there are and
+    settings become later."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    session = spark.newSession()
+    # With both equal the size of a split does not depend on the number of cores.
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{name}", size)
+    return session
+
+
 def number_rows(spark: SparkSession, path: str, keep: Column | None = None,
                 number: str = "line") -> DataFrame:
     """Lines of a text source with their position from 0: ``line, value``.
 
     ``keep`` chooses lines before they are counted.  A file split is read in order by
     one task, so a line's position is the number of lines in the splits before plus
-    its position in its own split.  Where a file is split depends on the cores and
-    settings of the moment, so the lines are read once, when called, and stored with
-    their split; both the count per split and the result come from that table.
+    its position in its own split.  The lines of each split are counted when this is called; the text is
+    read a second time for the result, from the same splits, and not stored.  Files must not change in between.
     """
-    lines = spark.read.text(path).select(
+    lines = pinned(spark).read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     if keep is not None:
         lines = lines.filter(keep)
-    lines = materialise(lines.withColumn("at", F.monotonically_increasing_id()), "lines")
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
     splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
     in_order = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialise(splits.select(
-        "file", "start", "first", F.coalesce(F.sum("size").over(in_order), F.lit(0)).alias("before")), "offsets")
+    # A row a split.
+    offsets = splits.select("file", "start", "first", F.coalesce(F.sum("size").over(in_order), F.lit(0)).alias("before"))
+    path = scratch_dir(spark, "offsets")
+    offsets.write.parquet(path)
+    # The caller's session stands on the left, so the result is one of its tables.
+    known = spark.read.schema(offsets.schema).parquet(path)
     lost = F.raise_error(F.concat(F.lit("no offset for a split of "), F.col("file"))).cast("bigint")
-    return lines.join(offsets, ["file", "start"], "left").select(
+    return known.join(lines, ["file", "start"], "right").select(
         (F.coalesce("before", lost) + F.col("at") - F.col("first")).alias(number), "value")
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import time
+from pathlib import Path
 from urllib.parse import unquote
 
 import pytest
@@ -51,6 +52,19 @@ def test_no_line_is_lost_when_splits_change(spark, tmp_path, setting, called, co
     assert got == dict(enumerate(lines))
 
 
+def test_numbered_lines_are_not_stored_and_belong_to_the_callers_session(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"{'x' * 90} {i}\n" for i in range(20_000)))
+    from millrace import session
+    handed = len(session._handed_out.get(spark.sparkContext.applicationId, []))
+    frame = text.number_rows(spark, str(tmp_path / "a.txt"))
+    assert frame.sparkSession is spark
+    written = session._handed_out[spark.sparkContext.applicationId][handed:]
+    size = sum(file.stat().st_size for folder in written for file in Path(folder).rglob("*") if file.is_file())
+    assert len(written) == 1 and size < 20_000 < (tmp_path / "a.txt").stat().st_size
+    frame.createOrReplaceTempView("numbered")
+    assert spark.sql("SELECT count(*) AS n FROM numbered WHERE value LIKE concat('% ', line)").first().n == 20_000
+
+
 HIDDEN = ("_b.txt", ".c.txt", "_old/d.txt", "_old/sub/_e [1].txt", "a/.f é.txt", "a/{x}/_g*.txt", "a/.h/i.txt")
 
 
