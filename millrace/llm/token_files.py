@@ -273,7 +273,7 @@ def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int | None
                  block_ids: int = BLOCK_IDS, percentile: float = PERCENTILE, file_ids: int = FILE_IDS,
                  slice_bytes: int = SLICE_BYTES) -> None:
     """Encode all documents and write them below ``path``: ``data``, the files, and ``index``, a Parquet
-    table (part, number, n_docs, n_ids, first_id) with a row a file.
+    table (file, part, number, n_docs, n_ids, first_id) with a row a file.
 
     ``definition`` is the tokenizer's JSON text.  ``end_id``, if any, follows each document.  Documents go by
     id, null first, equal ids by a hash of their texts; rows that are equal in both are alike.  A null or empty
@@ -333,17 +333,17 @@ def write_index(spark: SparkSession, path: str) -> None:
         return F.conv(F.hex(F.expr(f"substring(content, {begin + 1}, {size})")), 16, 10).cast("long")
 
     files = materialise(_open(spark, path).filter("length > 1").select(
-        number(8, 4).alias("part"), number(12, 4).alias("number"), number(16, 8).alias("n_docs"), number(24, 8).alias("n_ids")), "token-files")
+        F.element_at(F.split("path", "/"), -1).alias("file"), number(8, 4).alias("part"), number(12, 4).alias("number"), number(16, 8).alias("n_docs"), number(24, 8).alias("n_ids")), "token-files")
     # Rows: one a file within its part, one a part over all.
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("_ids")).select("part", F.coalesce(F.sum("_ids").over(over), F.lit(0)).alias("_before"))
     files.withColumn("_own", F.coalesce(F.sum("n_ids").over(within), F.lit(0))).join(parts, "part").select(
-        "part", "number", "n_docs", "n_ids", (F.col("_before") + F.col("_own")).alias("first_id")).write.parquet(f"{path}/index")
+        "file", "part", "number", "n_docs", "n_ids", (F.col("_before") + F.col("_own")).alias("first_id")).write.parquet(f"{path}/index")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("part long, number long, n_docs long, n_ids long, first_id long").parquet(f"{path}/index")
+    return spark.read.schema("file string, part long, number long, n_docs long, n_ids long, first_id long").parquet(f"{path}/index")
 
 
 def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint", id_name: str = "doc_id", batch_ids: int = 1 << 21) -> DataFrame:
@@ -377,22 +377,22 @@ def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint", id_name
 def read_stretch(spark: SparkSession, path: str, begin: int, end: int) -> DataFrame:
     """The ids from ``begin`` to ``end`` of the whole sequence: (at, ids), a row a file, ids as little-endian 32-bit numbers.
 
-    Only files that hold some of them are decoded, and of these only the blocks.
+    Only files that hold some of them are opened, as the index tells, and of these only the blocks decoded.  The names of
+    these files come to the driver: they are as many as the stretch is long.
     """
     ship_package(spark)
-    wanted = read_index(spark, path).filter((F.col("first_id") < end) & (F.col("first_id") + F.col("n_ids") > begin))
-
-    def number(at: int, size: int):
-        return F.conv(F.hex(F.expr(f"substring(content, {at + 1}, {size})")), 16, 10).cast("long")
-
-    files = _open(spark, path).filter("length > 1").select(number(8, 4).alias("part"), number(12, 4).alias("number"), "content")
+    wanted = read_index(spark, path).filter((F.col("first_id") < end) & (F.col("first_id") + F.col("n_ids") > begin)).select("file", "first_id").collect()
+    if begin >= end or not wanted:
+        return spark.createDataFrame([], "at long, ids binary")
+    firsts = {row.file: row.first_id for row in wanted}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                file = TokenFile(content.as_py())
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                file, first = TokenFile(content.as_py()), firsts[name.rsplit("/", 1)[1]]
                 low, high = max(begin - first, 0), min(end - first, file.n_ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([first + low]), pa.array([file.ids(low, high).astype("<u4").tobytes()], pa.binary())], ["at", "ids"])
 
-    return files.join(wanted, ["part", "number"]).select("first_id", "content").mapInArrow(work, "at long, ids binary")
+    files = spark.read.format("binaryFile").load([f"{path}/data/{name}" for name in firsts])
+    return files.select("path", "content").mapInArrow(work, "at long, ids binary")

@@ -198,6 +198,8 @@ def test_files_hold_all_documents_in_order(spark, docs, tmp_path, name):
     whole = b"".join(bytes(row.ids) for row in back)
     index = token_files.read_index(spark, f"{tmp_path}/a").orderBy("first_id").collect()
     assert len(index) > 20 and sum(r.n_docs for r in index) == len(rows) and index[-1].first_id + index[-1].n_ids == at
+    few = token_files.read_stretch(spark, f"{tmp_path}/a", 499, 502)
+    assert len(few.inputFiles()) <= 2  # no other file is opened
     for begin, end in ((0, at), (0, 1), (499, 502), (at - 3, at), (1000, 9000), (5, 5)):
         parts = sorted((r["at"], bytes(r.ids)) for r in token_files.read_stretch(spark, f"{tmp_path}/a", begin, end).collect())
         assert b"".join(ids for _, ids in parts) == whole[4 * begin:4 * end]
