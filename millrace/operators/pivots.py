@@ -8,8 +8,8 @@ reaches that for some query of the block.
 
 No query is copied.  Which block meets which slice is a short list beside the block, and the two stored tables
 are paired partition by partition: a task reads its slices and the blocks from storage, where pairs that are not on
-the list fall away before any vector is looked at.  What is exchanged is each row of the data and each query
-once, and what is found.
+the list fall away before any vector is looked at.  What is exchanged is each row of the data and each query,
+twice at most (to its slice or block, and to the first meeting), and what is found.
 """
 
 from __future__ import annotations
