@@ -79,8 +79,9 @@ def read_hidden(spark: SparkSession, files: list[str], whole_files: bool = False
         mount = "hidden-" + hashlib.sha256(system.encode()).hexdigest()[:16]
         link = f"fs.viewfs.mounttable.{mount}.linkRegex.#.^(?<dir>.*)/{PLAIN}(?<name>[^/]*)$"
         mapped = [re.sub(r"([^/]*)$", rf"{PLAIN}\1", _encoded(place), count=1) for place in places]
-        reader = spark.read.option(link, f"{system if '//' in system else system + '//'}${{dir}}/${{name}}")
-        lines = reader.text([f"viewfs://{mount}{place}" for place in mapped], wholetext=whole_files)
+        # A setting of the session and not an option: options reach executors in lower case, where no mount has such a name.
+        spark.conf.set(link, f"{system if '//' in system else system + '//'}${{dir}}/${{name}}")
+        lines = spark.read.text([f"viewfs://{mount}{place}" for place in mapped], wholetext=whole_files)
         # Paths are shown encoded; these were encoded before, and an asterisk is shown as it is.
         seen = F.regexp_replace(F.col("_metadata.file_path"), f"^viewfs://{mount}(.*)/{PLAIN}([^/]*)$", f"{system}$1/$2")
         seen = F.replace(F.replace(seen, F.lit("%25"), F.lit("%")), F.lit("%2A"), F.lit("*"))

@@ -124,6 +124,16 @@ def test_a_large_hidden_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_file_system_that_a_task_opens_anew_knows_the_mount(spark, tree):
+    """As in an executor, which has no file system that the driver has opened."""
+    spark.conf.set("fs.viewfs.impl.disable.cache", "true")
+    try:
+        got = below(tree, text.read_corpus(spark, str(tree)).collect())
+    finally:
+        spark.conf.unset("fs.viewfs.impl.disable.cache")
+    assert got == sorted((name, line) for name in ("top.txt", "a/b.txt", "a/{x}/c.txt", *HIDDEN) for line in (name, "second"))
+
+
 def test_csv_files_by_their_own_headers(spark, tmp_path):
     """Other orders and further columns, with a blank in a file name."""
     (tmp_path / "one file.csv").write_text('STATION,NAME,DATE,TMIN,TMAX\nA,"X, US",2000-01-01,1.0,2.0\n')
