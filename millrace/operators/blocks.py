@@ -104,6 +104,10 @@ class Best:
         #: Scores below this are not wanted.
         self.floor = np.full(len(queries), -np.inf)
 
+    def bar(self, places: np.ndarray) -> np.ndarray:
+        """What a score of these queries must reach to count."""
+        return np.maximum(self.scores[places, -1], self.floor[places])
+
     def scan(self, ids: np.ndarray, matrix: np.ndarray, only: np.ndarray | None = None) -> None:
         """Offer rows to all queries, or to the queries at the positions in ``only``."""
         if self.metric == "cosine":
@@ -120,25 +124,39 @@ class Best:
     def _scan_block(self, ids: np.ndarray, matrix: np.ndarray, places: np.ndarray) -> None:
         asked = self.queries.matrix[places]
         rough, margin = self._rough_scores(matrix, asked)
-        rough[~(rough > -np.inf)] = -np.inf
-        rough[ids[:, None] == self.queries.skip[places][None, :]] = -np.inf
-        bar = np.maximum(self.scores[places, -1], self.floor[places])
-        if len(ids) > self.k:
-            bar = np.maximum(bar, np.partition(rough, -self.k, axis=0)[-self.k])
-        row, col = np.nonzero((rough >= bar - margin) & (rough > -np.inf))
+        skip = self.queries.skip[places]
+        own = np.flatnonzero(np.isin(ids, skip[skip != NO_ID]))
+        row, col = np.nonzero(ids[own][:, None] == skip[None, :])
+        rough[own[row], col] = -np.inf
+        bar = self.bar(places)
+        found = self._reaching(rough, bar - margin)
+        if len(ids) > self.k and len(found) > 4 * self.k * len(places):
+            # Mostly the scores so far leave few; the k-th best of these rows is dear to find for more than one.
+            best = rough.max(axis=0) if self.k == 1 else np.partition(rough, -self.k, axis=0)[-self.k]
+            found = self._reaching(rough, np.maximum(bar, best) - margin)
+        row, col = np.divmod(found, len(places))
         step = max(1, VALUES_AT_ONCE // max(1, matrix.shape[1]))
         for first in range(0, len(row), step):
             r, c = row[first:first + step], col[first:first + step]
             self._offer(places[c], self._exact_scores(matrix[r], asked[c]), ids[r])
 
+    @staticmethod
+    def _reaching(rough: np.ndarray, bar: np.ndarray) -> np.ndarray:
+        """Flat places of the scores that reach the bar, and are scores."""
+        return np.flatnonzero(rough >= np.maximum(bar, np.finfo(np.float64).min))
+
     def _rough_scores(self, matrix: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rounding = 32 * (matrix.shape[1] + 4) * np.finfo(np.float64).eps
-        with np.errstate(invalid="ignore"):
+        with np.errstate(invalid="ignore", over="ignore"):
             here, there = (matrix * matrix).sum(axis=1), (asked * asked).sum(axis=1)
             product = matrix @ asked.T
             if self.metric.startswith("l2"):
-                product = 2 * product - here[:, None] - there[None, :]
+                product *= 2
+                product -= here[:, None]
+                product -= there[None, :]
             margin = rounding * (np.nan_to_num(here).max(initial=0.0) + np.nan_to_num(there))
+            if not (np.isfinite(here).all() and np.isfinite(there).all()):
+                product[~(product > -np.inf)] = -np.inf
         return product, margin
 
     def _exact_scores(self, rows: np.ndarray, asked: np.ndarray) -> np.ndarray:

@@ -9,8 +9,8 @@ The pairs are never written out.  Each task keeps the best k rows per query of i
 share of the data, and only those are exchanged.
 
 * Queries are computed once, into a stored table whose size is then known.  If they fit a
-  checked number of bytes they are broadcast, and the data is read where it lies.
-* If not, both sides are stored by pivots, queries meet only data that bounds cannot rule out, and
+  checked number of bytes, and make few pairs, they are broadcast, and the data is read where it lies.
+* If not, both sides are stored by cells, queries meet only data that bounds cannot rule out, and
   no query is copied (``pivots``).
 """
 
@@ -36,6 +36,8 @@ SLICE_BYTES = 64 << 20
 #: Scores that a task holds at once, best so far of its queries.
 HELD_SCORES = 1 << 22
 FOUND_ROWS = 1_000_000_000
+#: Pairs of a query and a row that are all compared; up to so many queries the rows are not counted.
+FEW_PAIRS, FEW_QUERIES = 1 << 28, 1 << 10
 
 
 def data_rows(data: DataFrame) -> DataFrame:
@@ -196,11 +198,13 @@ def nearest(data: DataFrame, queries: DataFrame, k: int = 1, metric: str = "l2",
         return Best(block, most, metric, False, query_block)
 
     dims = dimensions(asked, rows)
-    table = small_enough(asked, max_broadcast_bytes, dims, k)
+    many = asked.count()
+    count = rows.count() if many > FEW_QUERIES or not max_broadcast_bytes else 0
+    table = small_enough(asked, max_broadcast_bytes, dims, k) if many * count <= FEW_PAIRS else None
     if table is not None:
         found = _search_in_place(in_fewer_tasks(rows, table.num_rows * k), table, new_best, metric, k)
     else:
-        found = pivot_search(rows, asked, rows.count(), dims, slice_rows, new_best, metric, k).found()
+        found = pivot_search(rows, asked, count or rows.count(), dims, slice_rows, new_best, metric, k).found()
     ranked = rank_found(found, k)
     if metric == "l2":
         return ranked.withColumn("score", F.sqrt(-F.col("score")))
