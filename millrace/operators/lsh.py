@@ -25,6 +25,8 @@ from millrace.session import materialise, ship_package
 
 #: Bytes of a bucket's name and two numbers, beside its bits.
 NAME_BYTES = 64
+#: Slices that a bucket is cut into though it would fit fewer.
+FEW_SLICES = 4
 
 
 @dataclass(frozen=True)
@@ -118,7 +120,8 @@ def lsh_nearest(index: DataFrame, queries: DataFrame, scheme: SignHash, k: int =
 
     Many queries meet the data bucket by bucket.  For that the names of the buckets are stored, and the vectors beside
     them once, so an id names one row.  A bucket with more rows than ``slice_rows`` (by default as many as fit
-    ``SLICE_BYTES``) is cut into slices that different tasks hold, and its queries stream past each of them.
+    ``SLICE_BYTES``) is cut into slices that different tasks hold, and its queries stream past each of them; there are at most
+    ``FEW_SLICES``, or as many as ``SLICE_BYTES`` asks for.
     An index for many searches is ``lsh_store.StoredIndex``.
     """
     ship_package(index.sparkSession)
@@ -207,9 +210,13 @@ def _search_in_place(index: DataFrame, table: pa.Table, scheme: SignHash, query_
 def search_buckets(entries: DataFrame, vectors: DataFrame, asked: DataFrame, scheme: SignHash, dims: int, slice_rows: int | None,
                    query_block: int, k: int) -> DataFrame:
     """Bring rows and queries of each bucket together, from ``entries`` (tbl, bucket, id) and ``vectors`` (id, vec)."""
-    per_slice = slice_rows or max(1, rows_within(SLICE_BYTES, dims))
+    held = max(1, rows_within(SLICE_BYTES, dims))
+    per_slice = min(slice_rows or held, held)
     ask = one_row_per_table(bucket_names(asked, scheme, dims), "qid", "skip", "vec")
-    plan = entries.groupBy("tbl", "bucket").agg(F.ceil(F.count(F.lit(1)) / per_slice).cast("int").alias("slices"))
+    # Each slice costs a copy of its bucket's queries, so beyond a few there are no more than memory asks for.
+    size = F.count(F.lit(1))
+    slices = F.least(F.ceil(size / per_slice), F.greatest(F.lit(FEW_SLICES), F.ceil(size / held)))
+    plan = entries.groupBy("tbl", "bucket").agg(slices.cast("int").alias("slices"))
 
     # There are at most as many buckets as names, which bounds the plan's bytes.
     if (scheme.tables << scheme.bits) * (scheme.bits + NAME_BYTES) <= BROADCAST_BYTES:

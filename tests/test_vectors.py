@@ -255,3 +255,39 @@ def test_queries_are_not_copied_through_an_exchange(spark):
         assert search.slices.count() >= 100 and search.found().select("qid").distinct().count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_slices_do_not_multiply_the_work(spark):
+    """However few rows a slice may have, slices and blocks stay some hundred, and each query meets a leaf or two."""
+    rng = np.random.default_rng(8)
+    data = rng.random(size=(20_000, 2))
+    frame_of = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "id bigint, vec array<double>")
+    stored = materialise(frame_of.select(F.col("id").alias("qid"), F.lit(None).cast("bigint").alias("skip"), "vec"), "asked")
+    search = pivot_search(frame_of, stored, 20_000, 2, 5, lambda block, most: Best(block, most, "l2", False, 64), "l2", 1)
+    assert 96 <= search.slices.count() < 400 and search.blocks.count() < 600
+    assert search.skipped().first().share > 0.9
+    assert search.found().groupBy("qid").agg(F.max_by("id", "score").alias("id")).filter("id = qid").count() == 20_000
+
+
+def test_a_bucket_copies_its_queries_a_few_times(spark, monkeypatch):
+    from millrace.operators import lsh
+
+    copies, search_cells = [], lsh.search_cells
+    monkeypatch.setattr(lsh, "search_cells", lambda data, queries, *rest: copies.append(queries.count()) or search_cells(data, queries, *rest))
+    drawn = np.random.default_rng(9).normal(size=(400, 6))
+    scheme = SignHash(planes=4, bits=2, tables=2, seed=5)
+    unit = vec.normalise(frame(spark, drawn))
+    found = {limit: answers(lsh_nearest(lsh_index(unit, scheme), unit.select(F.col("id").alias("qid"), "vec"), scheme, 3, max_broadcast_bytes=limit, slice_rows=2)) for limit in (0, 1 << 20)}
+    assert found[0] == found[1 << 20] and copies == [400 * 2 * lsh.FEW_SLICES]
+
+
+def test_many_pairs_are_never_all_compared(spark, matrix, monkeypatch):
+    """Queries that could be broadcast go by cells when they make many pairs."""
+    from millrace.operators import neighbours
+
+    data, asked = frame(spark, matrix), frame(spark, matrix[::3], name="qid")
+    want = answers(nearest(data, asked, 2))
+    monkeypatch.setattr(neighbours, "FEW_PAIRS", 1000)
+    monkeypatch.setattr(neighbours, "FEW_QUERIES", 10)
+    monkeypatch.setattr(neighbours, "_search_in_place", None)
+    assert answers(nearest(data, asked, 2)) == want
