@@ -108,7 +108,12 @@ def best_possible(asked: np.ndarray, low: np.ndarray, high: np.ndarray, metric:
     if metric == "dot":
         return np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T + ROUNDING * size
     gap = np.zeros((len(asked), len(low)))
-    for at in range(asked.shape[1]):
+    if len(low) < asked.shape[1]:  # by box or by dimension, whichever are fewer
+        for at in range(len(low)):
+            far = np.maximum(low[at] - asked, asked - high[at])
+            np.maximum(far, 0, out=far)
+            gap[:, at] = np.einsum("ij,ij->i", far, far)
+    for at in range(asked.shape[1] if len(low) >= asked.shape[1] else 0):
         own = asked[:, at, None]
         far = np.maximum(low[None, :, at] - own, own - high[None, :, at])
         np.maximum(far, 0, out=far)
@@ -208,8 +213,8 @@ def pivot_search(rows: DataFrame, asked: DataFrame, count: int, dims: int, slice
     spark = rows.sparkSession
     # Few rows a slice make many leaves, not many slices: what pairs of slices and blocks cost does not grow with their rows.
     wanted = slice_rows or min(max(1, SLICE_BYTES // (8 * max(1, dims) + 8)), max(SLICE_ROWS, count // LEAST_SLICES))
-    leaf_rows, per_slice = min(LEAF_ROWS, wanted), max(wanted, math.ceil(count / (2 * MOST_CELLS)) if slice_rows else 1)
-    per_slice = min(per_slice, max(wanted, SLICE_BYTES // (8 * max(1, dims) + 8)))
+    leaf_rows = min(LEAF_ROWS, wanted)
+    per_slice = max(wanted, min(math.ceil(count / LEAST_SLICES), SLICE_BYTES // (8 * max(1, dims) + 8)))
     per_block = max(1, min(BLOCK_BYTES // (8 * max(1, dims) + 24), per_slice))
     many = max(1, min(MOST_CELLS, 2 * math.ceil(count / per_slice)))
     tasks = 4 * spark.sparkContext.defaultParallelism
