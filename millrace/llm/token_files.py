@@ -48,7 +48,7 @@ MAY_BE_BLANK = re.compile(r"[. \t\n]|\[\^|\\[snrtvfWDPhHRXNQpb](?!\{[LN]\})")
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 #: Ids a block, the share of them that the width must hold, and ids a file if no document is longer.
-BLOCK_IDS, PERCENTILE, FILE_IDS = 1024, 0.98, 8 << 20
+BLOCK_IDS, PERCENTILE, FILE_IDS = 1024, 0.98, 2 << 20
 #: Bytes of text encoded in one go, and words whose ids a worker remembers.
 SLICE_BYTES, KNOWN_WORDS = 4 << 20, 1 << 20
 
@@ -296,7 +296,9 @@ def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int | None
 
         def file() -> pa.RecordBatch:
             listed = pa.record_batch([pa.concat_arrays([keys for keys, _, _ in held]), pa.array(np.concatenate([counts for _, counts, _ in held]), pa.int64())], ["id", "n_tokens"])
-            made = make_file(part, number, np.concatenate([ids for _, _, ids in held]), listed, block_ids, percentile)
+            ids = np.concatenate([ids for _, _, ids in held])
+            held.clear()
+            made = make_file(part, number, ids, listed, block_ids, percentile)
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["value"])
 
         size = 0
@@ -311,8 +313,9 @@ def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int | None
                     stretch = ids[ends[low] - counts[low]:ends[high - 1]]
                     if held and size + len(stretch) > file_ids:
                         yield file()
-                        number, held, size = number + 1, [], 0
-                    held.append((keys.slice(low, high - low), counts[low:high], stretch))
+                        number, size = number + 1, 0
+                    # A copy, where a view would hold all ids of its slice.
+                    held.append((keys.slice(low, high - low), counts[low:high], stretch.copy()))
                     size += len(stretch)
         if held:
             yield file()
