@@ -24,9 +24,9 @@ import json
 import os
 import re
 import struct
-import sys
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,9 @@ BLOCK = struct.Struct("<IBH")
 MAY_BE_BLANK = re.compile(r"[. \t\n]|\[\^|\\[snrtvfWDPhHRXNQpb](?!\{[LN]\})")
 #: Fixed value: the pattern of public tokenizers that take runs of letters, single digits and runs of signs for pieces.
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Code points up to here are looked at one by one; all others make a word one piece.  U+00C0 to it have two bytes each.
+LAST_LATIN = 0x17F
+BLANK, LETTER, DIGIT, SIGN, OTHER = range(5)
 #: Ids a block, the share of them that the width must hold, and ids a file if no document is longer.
 BLOCK_IDS, PERCENTILE, FILE_IDS = 1024, 0.98, 2 << 20
 #: Bytes of text encoded in one go, and words whose ids a worker remembers.
@@ -63,11 +65,19 @@ def _bits(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _numbers(rows: np.ndarray, width: int, count: int) -> np.ndarray:
-    size = 16 if width <= 16 else 32
-    bits = np.unpackbits(rows, axis=1, count=count * width).reshape(len(rows), count, width)
-    whole = np.zeros((len(rows), count, size), dtype=np.uint8)
-    whole[:, :, size - width:] = bits
-    return np.packbits(whole, axis=2).view(f">u{size // 8}").reshape(len(rows), count).astype(np.uint32)
+    """Eight numbers have ``width`` bytes together; each is cut out of the five bytes at most that hold some of its bits."""
+    groups = -(-count // 8)
+    data = np.zeros((len(rows), groups * width), dtype=np.uint8)
+    data[:, :rows.shape[1]] = rows
+    data = data.reshape(len(rows), groups, width)
+    out = np.empty((len(rows), groups, 8), dtype=np.uint32)
+    for at in range(8):
+        first, last = at * width // 8, ((at + 1) * width - 1) // 8
+        value = data[:, :, first].astype(np.uint64)
+        for byte in range(first + 1, last + 1):
+            value = value << np.uint64(8) | data[:, :, byte]
+        out[:, :, at] = value >> np.uint64(8 * (last + 1) - (at + 1) * width) & np.uint64((1 << width) - 1)
+    return out.reshape(len(rows), -1)[:, :count]
 
 
 def pack_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS, percentile: float = PERCENTILE) -> list[bytes]:
@@ -178,18 +188,68 @@ def parts_at_blanks(model: dict) -> bool:
 
 
 def letters_apart(model: dict) -> bool:
-    """Whether a tokenizer that parts at blanks takes a run of ASCII letters, a digit, and a run of other
+    """Whether a tokenizer that parts at blanks takes a run of letters, a digit, and a run of other
     ASCII characters without an apostrophe for one piece each, and leaves their characters as they are."""
     steps = (model.get("pre_tokenizer") or {}).get("pretokenizers", [])
     return len(steps) == 2 and steps[0].get("pattern") == {"Regex": LETTER_RUNS} and steps[1]["type"] == "ByteLevel" \
         and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
 
 
-def _bytes(ids: list[int]) -> bytes:
-    made = array("I", ids)
-    if sys.byteorder == "big":
-        made.byteswap()
-    return made.tobytes()
+def kinds_of_characters(special: str, composed: bool) -> np.ndarray:
+    """The kind of each code point up to ``LAST_LATIN`` for a tokenizer with ``letters_apart``; ``special`` are characters
+    that added tokens begin with.  Letters beyond ASCII count if they stay ``composed``: each is whole in NFC and, but
+    for U+0130, one letter in lower case."""
+    kinds = np.full(LAST_LATIN + 1, OTHER, dtype=np.uint8)
+    kinds[0x21:0x7F] = SIGN
+    for code in [*range(0x7F), *(range(0xC0, LAST_LATIN + 1) if composed else [])]:
+        if chr(code).isalpha() and len(chr(code).lower()) == 1:
+            kinds[code] = LETTER
+    kinds[ord("0"):ord("9") + 1], kinds[ord("'")] = DIGIT, OTHER
+    kinds[[ord(one) for one in special if ord(one) <= LAST_LATIN]] = OTHER
+    kinds[[ord(one) for one in " \t\n\v\f\r"]] = BLANK
+    return kinds
+
+
+def split_pieces(texts: pa.Array, kinds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """As ``split_texts``, but words of letters, digits and signs alone are in lower case and parted in runs of letters,
+    single digits and runs of signs."""
+    texts = texts.fill_null("").cast(pa.string())
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[bounds[0]:bounds[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    bounds -= bounds[0]
+    if not len(raw):
+        return pa.array([], pa.string()), np.zeros(len(bounds), dtype=np.int64)
+    lower = np.array([ord(chr(code).lower()) if kind == LETTER else code for code, kind in enumerate(kinds.tolist())], dtype=np.uint16)
+    by_byte, small = np.full(256, OTHER, dtype=np.uint8), np.arange(256, dtype=np.uint8)
+    by_byte[:128], small[:128] = kinds[:128], lower[:128]
+    kind, made = by_byte[raw], small[raw]
+    lead = np.flatnonzero((raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC0 | LAST_LATIN >> 6) & (raw[1:] & 0xC0 == 0x80))
+    code = (raw[lead].astype(np.uint16) & 0x1F) << 6 | raw[lead + 1] & 0x3F
+    kind[lead] = kind[lead + 1] = kinds[code]
+    made[lead], made[lead + 1] = 0xC0 | lower[code] >> 6, 0x80 | lower[code] & 0x3F
+
+    solid = kind != BLANK
+    word = solid.copy()  # whether a word begins here
+    word[1:] &= ~solid[:-1]
+    inner = bounds[:-1][bounds[:-1] < len(raw)]
+    word[inner] = solid[inner]
+    kind, made, raw, word, before = kind[solid], made[solid], raw[solid], word[solid], np.cumsum(solid, dtype=np.int32)
+    # From here on without blanks: words of other characters are as they were, and one piece.
+    firsts = np.flatnonzero(word)
+    if not len(firsts):
+        return pa.array([], pa.string()), np.zeros(len(bounds), dtype=np.int64)
+    whole = np.maximum.reduceat(kind, firsts) == OTHER
+    begins = kind == DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    if whole.any():
+        kept = np.repeat(whole, np.diff(np.append(firsts, len(raw))))
+        made = np.where(kept, raw, made)
+        begins &= ~kept
+    begins |= word
+    starts = np.append(np.flatnonzero(begins), len(raw)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(made))
+    return pieces, np.searchsorted(starts[:-1], np.where(bounds > 0, before[bounds - 1], 0))
 
 
 class Encoder:
@@ -198,62 +258,75 @@ class Encoder:
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         model = json.loads(definition)
         self.tokenizer = Tokenizer.from_str(definition)
         self.by_words = parts_at_blanks(model)
         steps = (model.get("normalizer") or {}).get("normalizers", [model.get("normalizer") or {}])
-        self.lower = any(step.get("type") == "Lowercase" for step in steps)
-        self.pieces = self.lower and self.by_words and letters_apart(model)
+        steps = {step.get("type") for step in steps}
+        self.pieces = "Lowercase" in steps and self.by_words and letters_apart(model)
         # Special tokens are looked for before anything else, so words that may hold one are not touched.
-        self.special = re.compile("[" + re.escape("".join({token["content"][0] for token in model["added_tokens"]}) or "\0") + "]")
-        self.known: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        return [_bytes(found.ids) for at in range(0, len(texts), 1024)
-                for found in self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False)]
+        self.kinds = kinds_of_characters("".join({token["content"][0] for token in model["added_tokens"]}), "NFD" not in steps)
+        letters = [chr(code) for code in np.flatnonzero(self.kinds == LETTER).tolist() if chr(code).lower() == chr(code)]
+        self.letters = re.compile("[" + re.escape("".join(letters)) + "]+")
+        alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {ord(one): alphabet.pre_tokenize_str(one)[0][0] for one in letters}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Word k of those known has the ids from place k to place k + 1."""
+        self.known: dict[str, int] = {}
+        self.ids, self.places = array("I"), array("q", [0])
+
+    def _batch(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 1024):
+            for found in self.tokenizer.encode_batch_fast(texts[at:at + 1024], add_special_tokens=False):
+                yield found.ids
 
     def _learn(self, words: list[str]) -> None:
-        """Add new words, in lower case if they are ASCII; pieces of plain letters go to the model as they are."""
-        if self.pieces:
-            parted = {word: ASCII_PIECE.findall(word) for word in words if word.isascii() and "'" not in word and word.isprintable() and not self.special.search(word)}
-            new = {piece for pieces in parted.values() for piece in pieces if piece not in self.known_pieces}
-            letters = [piece for piece in new if piece.isalpha()]
-            tokenize = self.tokenizer.model.tokenize
-            for piece in letters:
-                self.known_pieces[piece] = _bytes([token.id for token in tokenize(piece)])
-            rest = [piece for piece in new if not piece.isalpha()]
-            self.known_pieces.update(zip(rest, self._batch(rest)))
-            self.known.update((word, b"".join([self.known_pieces[piece] for piece in pieces])) for word, pieces in parted.items())
-            words = [word for word in words if word not in parted]
-        self.known.update(zip(words, self._batch(words)))
+        """Add new words, in their order; runs of plain letters go to the model as they are."""
+        letters = self.letters.fullmatch
+        direct = [self.pieces and letters(word) is not None for word in words]
+        rest = self._batch([word for word, one in zip(words, direct) if not one])
+        tokenize, ids, places = self.tokenizer.model.tokenize, self.ids, self.places
+        for word, one in zip(words, direct):
+            if one:
+                ids.extend([token.id for token in tokenize(word if word.isascii() else word.translate(self.spelt))])
+            else:
+                ids.extend(next(rest))
+            places.append(len(ids))
+        self.known.update(zip(words, range(len(self.known), len(places) - 1)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of each."""
         if not self.by_words:
-            each = self._batch(texts.fill_null("").to_pylist())
-            return np.frombuffer(b"".join(each), dtype="<u4"), np.array([len(ids) // 4 for ids in each], dtype=np.int64)
-        words, firsts = split_texts(texts)
+            each = [np.array(ids, dtype=np.uint32) for ids in self._batch(texts.fill_null("").to_pylist())]
+            return np.concatenate([np.zeros(0, dtype=np.uint32), *each]), np.array([len(ids) for ids in each], dtype=np.int64)
+        words, firsts = split_pieces(texts, self.kinds) if self.pieces else split_texts(texts)
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if self.lower:  # upper case of ASCII is one letter for one
-            special = self.special.search
-            different = [word.lower() if word.isascii() and not special(word) else word for word in different]
+        different = coded.dictionary.to_numpy(zero_copy_only=False)
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-            self.known_pieces.clear()
-        self._learn(list({word: None for word in different if word not in self.known}))
-        each = [self.known[word] for word in different]
-        flat = np.frombuffer(b"".join(each), dtype="<u4")
-        lengths = np.array([len(ids) // 4 for ids in each], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
+            self._forget()
+        numbers = np.fromiter(map(self.known.get, different, repeat(-1)), dtype=np.int64, count=len(different))
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = np.arange(len(self.known), len(self.known) + len(new))
+        self._learn(different[new].tolist())
+        # First the ids of the different words, in a small table, then those of all words from there.
+        places = np.frombuffer(self.places, dtype=np.int64)
+        flat, ends = _gather(np.frombuffer(self.ids, dtype=np.uint32), places[numbers], places[numbers + 1])
         at = coded.indices.to_numpy()
-        own = lengths[at] if len(at) else np.zeros(0, dtype=np.int64)
-        after = np.cumsum(own)
-        places = np.repeat(starts[at] - (after - own), own) + np.arange(int(own.sum())) if len(at) else np.zeros(0, dtype=np.int64)
-        bounds = np.concatenate([[0], after])[firsts]
-        return flat[places], np.diff(bounds)
+        ids, after = _gather(flat, np.concatenate([[0], ends])[at], ends[at])
+        return ids, np.diff(np.concatenate([[0], after])[firsts])
+
+
+def _gather(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``values``, one after the other, and where each ends there."""
+    own = ends - begins
+    after = np.cumsum(own)
+    places = np.repeat(begins - (after - own), own)
+    places += np.arange(len(places))
+    return values[places], after
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -173,6 +173,46 @@ def test_words_are_encoded_as_whole_texts_are():
         assert [own.tolist() for own in each] == [tool.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
 
 
+def changed_tokenizer(**parts):
+    return json.dumps(json.loads(public_tokenizer("word_bpe_49k.json")) | parts)
+
+
+@pytest.mark.parametrize("definition", [
+    public_tokenizer("word_bpe_49k.json"),
+    changed_tokenizer(normalizer={"type": "Sequence", "normalizers": [{"type": "NFD"}, {"type": "Lowercase"}]}),
+    changed_tokenizer(normalizer=None),
+    changed_tokenizer(pre_tokenizer={"type": "WhitespaceSplit"}),
+    changed_tokenizer(added_tokens=[]),
+])
+def test_pieces_of_all_small_code_points_are_encoded_as_whole_texts_are(definition, monkeypatch):
+    tool, rng = token_files.Encoder(definition), random.Random(8)
+    assert tool.by_words
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 500)  # so that words are forgotten on the way
+    signs = [chr(code) for code in range(0x250)] + ["\u0301", "\u2126", "\u3042", "\U0001f600", "<|endoftext|>", "the", "The", "É", "12", "'s"]
+    texts = ["".join(near) for near in zip(signs, signs[1:], signs[2:])] + [f"x{one}Y {one}" for one in signs]
+    texts += ["".join(rng.choice(signs[32:127] + signs[0xC0:0x180] + [" "]) for _ in range(rng.randint(0, 30))) for _ in range(600)]
+    texts += [None, "", " ", "a", " a", "a ", "a", "\n"]
+    for begin in range(0, len(texts), 200):
+        some = pa.array(texts, pa.string()).slice(begin, 200)
+        ids, counts = tool.encode(some)
+        each = np.split(ids, np.cumsum(counts)[:-1])
+        assert ids.dtype == np.uint32 and len(counts) == len(some)
+        assert [own.tolist() for own in each] == [tool.tokenizer.encode(text or "", add_special_tokens=False).ids for text in some.to_pylist()]
+    for nothing in ([], [None], ["", " "]):
+        ids, counts = tool.encode(pa.array(nothing, pa.string()))
+        assert len(ids) == 0 and counts.tolist() == [0] * len(nothing)
+
+
+def test_words_of_the_same_pieces_are_learnt_once(monkeypatch):
+    tool = token_files.Encoder(public_tokenizer("word_bpe_49k.json"))
+    batches = []
+    monkeypatch.setattr(tool, "_batch", lambda words, plain=tool._batch: batches.extend(words) or plain(words))
+    tool.encode(pa.array(["Word word, WORD. (word) Élève élève, ÉLÈVE", "word; Élève. word,"]))
+    assert sorted(tool.known) == sorted(["word", "élève", ",", ".", "(", ")", ";"])
+    tool.encode(pa.array(["words, Élèves. été"]))
+    assert len(tool.known) == 10 and not any(word.isalpha() for word in batches)  # letters go to the model as they are
+
+
 def token_rows(frame):
     return sorted((repr(r.doc_id), r.start, r.n_tokens, r.ids) for r in frame.collect())
 
